@@ -2,12 +2,13 @@
 
 Every row of ``customer``, ``part``, ``orders`` and ``events`` is used. Odd values (unreadable money, unknown keys,
 blank texts) come from arithmetic on the keys, and one merchant takes a third of all transactions.
-``sql_inputs`` states the same tables as SQL.
+The ``in_*`` steps of ``checks.sql`` state the same tables as SQL.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -137,9 +138,9 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def staged_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staged_transactions(typed: DataFrame) -> DataFrame:
     """The transactions as a CSV export holds them: all text."""
-    return transactions(spark, sf_dir).select(
+    return typed.select(
         F.col("id").cast("string"),
         F.date_format("date_time", "yyyy-MM-dd HH:mm:ss").alias("date_time"),
         *(
@@ -192,35 +193,35 @@ def cdc_records(events: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Lake:
-    """All bronze inputs of one data folder."""
+    """All bronze inputs of one data folder; each frame is declared once."""
 
     spark: SparkSession
     sf_dir: str
 
-    @property
+    @cached_property
     def users(self) -> DataFrame:
         return users(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def cards(self) -> DataFrame:
         return cards(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def transactions(self) -> DataFrame:
         return transactions(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def staged_transactions(self) -> DataFrame:
-        return staged_transactions(self.spark, self.sf_dir)
+        return staged_transactions(self.transactions)
 
-    @property
+    @cached_property
     def mcc_codes(self) -> DataFrame:
         return mcc_codes(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def labels(self) -> DataFrame:
         return labels(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def cdc(self) -> DataFrame:
         return cdc_records(given(self.spark, self.sf_dir, "events"))

@@ -15,7 +15,6 @@ from ..schemas import GOLD_MERCHANT_MONTHLY, conform, wide_counts
 from .market import in_window
 
 PAIR = ("merchant_id", "client_id")
-MONTH = s.month_start("txn_date_time").alias("period_month")
 PREVIOUS = {
     "rev_total": "prev_rev_total",
     "rev_positive": "prev_rev_positive",
@@ -24,6 +23,10 @@ PREVIOUS = {
 }
 
 
+def _month() -> Column:
+    return s.month_start("txn_date_time")
+
+
 def _month_before(start: DateLike) -> dt.date:
     first = as_date(start).replace(day=1)
     return first.replace(year=first.year - 1, month=12) if first.month == 1 else first.replace(month=first.month - 1)
@@ -39,7 +42,7 @@ def client_months(detail: DataFrame, start: DateLike, end: DateLike) -> DataFram
     recent_from = _month_before(start)
     recent = (
         in_window(detail, recent_from, end)
-        .groupBy(*PAIR, MONTH)
+        .groupBy(*PAIR, _month().alias("period_month"))
         .agg(
             F.sum(amount).alias("rev_total"),
             s.sum_if(amount, amount > 0).alias("rev_positive"),
@@ -55,7 +58,7 @@ def client_months(detail: DataFrame, start: DateLike, end: DateLike) -> DataFram
     older = (
         in_window(detail, None, recent_from - dt.timedelta(days=1))
         .groupBy(*PAIR)
-        .agg(F.max(s.month_start("txn_date_time")).alias("period_month"))
+        .agg(F.max(_month()).alias("period_month"))
     )
     every = recent.unionByName(older, allowMissingColumns=True)
     return every.withColumn("is_new", first_month_flag(every, PAIR, "period_month", "client_id")).where(
@@ -79,7 +82,7 @@ def merchant_reach(detail: DataFrame, start: DateLike, end: DateLike) -> DataFra
     """Exact distinct cities, states and categories per (merchant, month)."""
     return (
         in_window(detail, as_date(start).replace(day=1), end)
-        .groupBy(F.col("merchant_id").alias("reach_id"), MONTH.alias("reach_month"))
+        .groupBy(F.col("merchant_id").alias("reach_id"), _month().alias("reach_month"))
         .agg(
             F.count_distinct("merchant_city").alias("active_city_cnt"),
             F.count_distinct("merchant_state").alias("active_state_cnt"),

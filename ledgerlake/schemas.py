@@ -6,8 +6,6 @@ always stand last, because ``insertInto`` matches by position and Spark puts par
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -162,19 +160,12 @@ def wide_counts(columns: dict[str, str]) -> dict[str, str]:
     return {name: "bigint" if kind == "int" and is_count(name) else kind for name, kind in columns.items()}
 
 
-def conform(
-    df: DataFrame,
-    columns: dict[str, str],
-    sources: dict[str, Column] | None = None,
-    skip: Iterable[str] = (),
-) -> DataFrame:
+def conform(df: DataFrame, columns: dict[str, str], sources: dict[str, Column] | None = None) -> DataFrame:
     """Rename, reorder and cast in one projection: ``columns`` of ``df``, or of ``sources`` where given."""
     sources = sources or {}
-    left_out = set(skip)
     return df.select(
         *(
-            sources.get(name, F.col(name)).cast(kind).alias(name)
+            sources[name].cast(kind).alias(name) if name in sources else F.expr(f"CAST(`{name}` AS {kind}) AS `{name}`")
             for name, kind in columns.items()
-            if name not in left_out
         )
     )

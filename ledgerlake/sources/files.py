@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from ..schemas import ddl
 
-# A quoted empty field is empty text, an unquoted one is NULL.
-CSV_OPTIONS = {"header": True, "sep": ",", "quote": '"', "escape": '"', "nullValue": ""}
+CSV_LAYOUT = {"header": True, "sep": ",", "quote": '"', "escape": '"'}
+# An unquoted empty field is NULL, a quoted one is empty text. The reader would turn the latter into NULL as well if
+# the null marker were empty, so it is set to a character that text from a database cannot hold.
+CSV_READ = CSV_LAYOUT | {"nullValue": "\u0000", "emptyValue": ""}
+CSV_WRITE = CSV_LAYOUT | {"nullValue": "", "emptyValue": '""'}
 
 
 def read_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    return spark.read.options(**CSV_OPTIONS).schema(ddl(columns)).csv(path)
+    return spark.read.options(**CSV_READ).schema(ddl(columns)).csv(path)
 
 
 def read_json_lines(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
@@ -38,9 +41,9 @@ def read_json_object(spark: SparkSession, path: str, root: str | None = None) ->
     )
 
 
-# The three shapes of a piece of `{"<root>": {"<digits>": "<text>", ...}}` cut at every `",`.
+# The three shapes of a piece of `{"<root>": {"<number>": "<text>", ...}}` cut at every `",`.
 _HEAD = r'^\s*(?:\{\s*"ROOT"\s*:\s*\{)?\s*'
-_ENTRY = r'"([0-9]+)"\s*:\s*"([^"\\]*)'
+_ENTRY = r'"(-?[0-9]+)"\s*:\s*"([^"\\]*)'
 _TAIL = r'(?:"\s*\}\s*\}\s*)?$'
 _EMPTY = r'^\s*\{\s*("ROOT"\s*:\s*\{\s*\}\s*)?\}\s*$'
 
