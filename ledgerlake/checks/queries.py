@@ -60,6 +60,19 @@ class Layers(Lake):
             self.silver_transactions, self.silver_users, self.silver_cards, self.mcc_codes, self.labels, START, END
         )
 
+    @cached_property
+    def csv_source(self) -> source.Source:
+        """The inputs exported as CSV, and loaded from there."""
+        folder = shared_folder(self.spark)
+        exports = {
+            "users": self.users.drop("load_at"),
+            "cards": self.cards.drop("load_at"),
+            "transactions": self.staged_transactions,
+        }
+        for name, df in exports.items():
+            df.write.options(**CSV_WRITE).csv(f"{folder}/{name}")
+        return source.load_source(self.spark, **{name: f"{folder}/{name}" for name in exports})
+
 
 @lru_cache(maxsize=4)
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
@@ -170,35 +183,16 @@ def ingest_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.ingest_table(staged_typing(spark, sf_dir), "transactions", _load_time())
 
 
-def _csv_out(df: DataFrame, path: str) -> str:
-    df.write.options(**CSV_WRITE).csv(path)
-    return path
-
-
-def _csv_source(spark: SparkSession, sf_dir: str, *wanted: str) -> source.Source:
-    """Export the inputs as CSV, then load them; tables not asked for share an empty folder's name."""
-    lake, folder = layers(spark, sf_dir), shared_folder(spark)
-    exports = {
-        "users": lambda: lake.users.drop("load_at"),
-        "cards": lambda: lake.cards.drop("load_at"),
-        "transactions": lambda: lake.staged_transactions,
-    }
-    for name in wanted:
-        _csv_out(exports[name](), f"{folder}/{name}")
-    paths = {name: f"{folder}/{name if name in wanted else wanted[0]}" for name in exports}
-    return source.load_source(spark, **paths)
-
-
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _csv_source(spark, sf_dir, "transactions").transactions
+    return layers(spark, sf_dir).csv_source.transactions
 
 
 def csv_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _csv_source(spark, sf_dir, "users").users
+    return layers(spark, sf_dir).csv_source.users
 
 
 def csv_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _csv_source(spark, sf_dir, "cards").cards
+    return layers(spark, sf_dir).csv_source.cards
 
 
 def mcc_explode(spark: SparkSession, sf_dir: str) -> DataFrame:

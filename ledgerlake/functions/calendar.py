@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,24 +61,33 @@ def date_window_filter(
     The date comparison on the timestamp becomes a pushed Parquet range. When the table is laid out by
     (year, month[, day]) of that timestamp, naming those columns also prunes whole partitions.
     """
-    day = F.to_date(moment)
-    last = as_date(end)
+    day, last = F.to_date(moment), as_date(end)
     condition = day <= date_lit(last)
-    first = None if start is None else as_date(start)
-    if first is not None:
+    for place, of in _places(partitions):
+        condition = condition & (place <= of(last))
+    if start is not None:
+        first = as_date(start)
         condition = condition & (day >= date_lit(first))
-    if partitions:
-        weights = (10000, 100, 1)[: len(partitions)]
+        for place, of in _places(partitions):
+            condition = condition & (place >= of(first))
+    return df.where(condition)
 
-        def rank(d: dt.date) -> int:
-            return sum(w * p for w, p in zip(weights, (d.year, d.month, d.day)))
 
-        place = sum((F.col(c) * w for c, w in zip(partitions[1:], weights[1:])), F.col(partitions[0]) * weights[0])
-        # The plain year bound is one a metastore understands; the exact one prunes on the file index.
-        condition = condition & (F.col(partitions[0]) <= last.year) & (place <= rank(last))
-        if first is not None:
-            condition = condition & (F.col(partitions[0]) >= first.year) & (place >= rank(first))
-    return df.where(condition)
+def _places(partitions: Sequence[str]) -> list[tuple[Column, Callable[[dt.date], int]]]:
+    """(year), (year, month) and (year, month, day) as single numbers, as far as the columns go.
+
+    The year alone is a bound that every catalog understands; the others prune on the file index. One that is not a
+    partition column of the stored table only filters rows.
+    """
+    year, month, day = (*(F.col(c) for c in partitions), None, None, None)[:3]
+    places: list[tuple[Column, Callable[[dt.date], int]]] = []
+    if year is not None:
+        places.append((year, lambda d: d.year))
+    if month is not None:
+        places.append((year * 100 + month, lambda d: d.year * 100 + d.month))
+    if day is not None:
+        places.append((year * 10000 + month * 100 + day, lambda d: d.year * 10000 + d.month * 100 + d.day))
+    return places
 
 
 def widen_to_months(start: DateLike, end: DateLike) -> tuple[dt.date, dt.date]:
