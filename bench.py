@@ -19,6 +19,7 @@ from ledgerlake.checks.inputs import Lake, given
 from ledgerlake.checks.queries import AS_OF, END, START
 from ledgerlake.plans import detail, latest, market, merchant, silver, user
 from ledgerlake.schemas import TABLES, ddl
+from ledgerlake.settings import configured
 from ledgerlake.sinks.tables import balanced
 from ledgerlake.streaming.cdc import envelope
 from ledgerlake.workspace import shared_folder
@@ -26,10 +27,9 @@ from ledgerlake.workspace import shared_folder
 
 def session(cpus: str) -> SparkSession:
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        configured(SparkSession.builder.master(f"local[{cpus}]"))
         .appName("bench")
         .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

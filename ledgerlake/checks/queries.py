@@ -316,14 +316,12 @@ def daily_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def peak_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = layers(spark, sf_dir).detail.withColumn("period_date", F.to_date("txn_date_time"))
-    return top_per_group(fact, ["period_date"], "txn_hour", F.count("transaction_id"), ("peak_hour", "peak_hour_cnt"))
+    totals = market.daily_totals(layers(spark, sf_dir).detail, START, END)
+    return totals.select("period_date", "peak_hour", "peak_hour_cnt")
 
 
 def top_mcc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = layers(spark, sf_dir).detail.withColumn("period_date", F.to_date("txn_date_time"))
-    names = ("merchant_top_mcc", "merchant_top_mcc_cnt")
-    return top_per_group(fact, ["period_date"], "mcc", F.count("transaction_id"), names)
+    return market.daily_top_category(layers(spark, sf_dir).detail, START, END)
 
 
 def top_merchant(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -137,6 +137,14 @@ def sum_if(value: Column, condition: Column) -> Column:
     return F.sum(F.when(condition, value).otherwise(F.lit(0).cast("decimal(18,4)")))
 
 
+def negative_part(positive: Column | str, total: Column | str) -> Column:
+    """Sum of the absolute negative amounts, from the sum of the positive ones and of all.
+
+    Decimal sums are the costly part of a summary, and this one is exact without a pass of its own.
+    """
+    return col(positive) - F.coalesce(col(total), F.lit(0).cast("decimal(18,4)"))
+
+
 def surrogate_key(*parts: Column | str) -> Column:
     """64-bit key that depends on the row only, so reruns and retried tasks give the same one."""
     return F.xxhash64(*(col(part) for part in parts))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as s
 from ..functions.calendar import as_date
 from ..functions.scalars import DateLike
+from ..operators.distinct import distinct_counts
 from ..operators.history import first_month_flag, previous_month_values
 from ..schemas import GOLD_MERCHANT_MONTHLY, conform, wide_counts
 from .market import in_window
@@ -46,8 +47,6 @@ def client_months(detail: DataFrame, start: DateLike, end: DateLike) -> DataFram
         .agg(
             F.sum(amount).alias("rev_total"),
             s.sum_if(amount, amount > 0).alias("rev_positive"),
-            s.sum_if(F.abs(amount), amount < 0).alias("rev_negative"),
-            F.sum(F.abs(amount)).alias("txn_total_amt"),
             F.count(F.lit(1)).alias("txn_total_cnt"),
             F.count_if(amount > 0).alias("txn_positive_cnt"),
             F.count_if(amount < 0).alias("txn_negative_cnt"),
@@ -70,24 +69,27 @@ def merchant_months(pairs: DataFrame) -> DataFrame:
     """Pair measures summed per (merchant, month). A pair without a merchant counts as neither new nor returning."""
     measures = [c for c in pairs.columns if c not in (*PAIR, "period_month", "is_new")]
     known = F.col("merchant_id").isNotNull()
-    return pairs.groupBy("merchant_id", "period_month").agg(
+    months = pairs.groupBy("merchant_id", "period_month").agg(
         *(F.sum(c).alias(c) for c in measures),
         F.count("client_id").alias("unique_client_cnt"),
         F.count_if(known & F.col("is_new")).alias("new_client_cnt"),
         F.count_if(known & ~F.col("is_new")).alias("returning_client_cnt"),
     )
+    return months.withColumns(
+        {
+            "rev_negative": s.negative_part("rev_positive", "rev_total"),
+            # Without any amount the volume is unknown, as the total is.
+            "txn_total_amt": F.col("rev_positive") * 2 - F.col("rev_total"),
+        }
+    )
 
 
 def merchant_reach(detail: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     """Exact distinct cities, states and categories per (merchant, month)."""
-    return (
-        in_window(detail, as_date(start).replace(day=1), end)
-        .groupBy(F.col("merchant_id").alias("reach_id"), _month().alias("reach_month"))
-        .agg(
-            F.count_distinct("merchant_city").alias("active_city_cnt"),
-            F.count_distinct("merchant_state").alias("active_state_cnt"),
-            F.count_distinct("mcc").alias("active_mcc_cnt"),
-        )
+    return distinct_counts(
+        in_window(detail, as_date(start).replace(day=1), end),
+        {"reach_id": F.col("merchant_id"), "reach_month": _month()},
+        {"active_city_cnt": "merchant_city", "active_state_cnt": "merchant_state", "active_mcc_cnt": "mcc"},
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as s
 from ..functions.scalars import DateLike
+from ..operators.distinct import distinct_counts
 from ..operators.top import leader, leader_count, leader_key
 from ..schemas import GOLD_USER_DETAIL, conform, is_count, wide_counts
 
@@ -21,7 +22,6 @@ def user_totals(detail: DataFrame) -> DataFrame:
     per_merchant = detail.groupBy("client_id", "merchant_id").agg(
         F.sum(amount).alias("total_txn_amt"),
         s.sum_if(amount, amount > 0).alias("total_pos_amt"),
-        s.sum_if(F.abs(amount), amount < 0).alias("total_neg_amt"),
         F.count(F.lit(1)).alias("total_txn"),
         F.count_if(amount > 0).alias("total_txn_pos"),
         F.count_if(amount < 0).alias("total_txn_neg"),
@@ -40,17 +40,23 @@ def user_totals(detail: DataFrame) -> DataFrame:
             F.count("merchant_id").alias("merchant_unique_cnt"),
             leader("total_txn", "merchant_id").alias("top"),
         )
-        .withColumns({"merchant_top_id": leader_key("top"), "merchant_top_txn_cnt": leader_count("top")})
+        .withColumns(
+            {
+                "total_neg_amt": s.negative_part("total_pos_amt", "total_txn_amt"),
+                "merchant_top_id": leader_key("top"),
+                "merchant_top_txn_cnt": leader_count("top"),
+            }
+        )
         .drop("top")
     )
 
 
 def user_reach(detail: DataFrame) -> DataFrame:
     """Exact distinct categories, cities and states per client."""
-    return detail.groupBy("client_id").agg(
-        F.count_distinct("mcc").alias("mcc_unique_cnt"),
-        F.count_distinct("merchant_city").alias("city_unique_cnt"),
-        F.count_distinct("merchant_state").alias("state_unique_cnt"),
+    return distinct_counts(
+        detail,
+        {"client_id": F.col("client_id")},
+        {"mcc_unique_cnt": "mcc", "city_unique_cnt": "merchant_city", "state_unique_cnt": "merchant_state"},
     )
 
 
