@@ -502,13 +502,17 @@ def append_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transactions and current users in equal buckets of the client: the join needs no exchange."""
+    """Transactions and labels in equal buckets of the transaction id: the join of two large sides needs no exchange.
+
+    The id has no hot value, which is what a bucket column must be like.
+    """
     lake, path = layers(spark, sf_dir), shared_folder(spark)
-    left, right = _table_name("txn"), _table_name("usr")
-    tables.write_bucketed(lake.silver_transactions.select("transaction_id", "client_id"), left, 16, "client_id", f"{path}/txn")
-    current = lake.silver_users.where("is_current").select("client_id", "gender", "credit_score")
-    tables.write_bucketed(current, right, 16, "client_id", f"{path}/usr")
-    joined = spark.table(left).join(spark.table(right), "client_id", "left")
+    left, right = _table_name("txn"), _table_name("lab")
+    buckets = tables.bucket_count(given(spark, sf_dir, "orders").count())
+    facts = lake.transactions.select(F.col("id").alias("transaction_id"), "client_id", "amount")
+    tables.write_bucketed(facts, left, buckets, "transaction_id", f"{path}/txn")
+    tables.write_bucketed(lake.labels, right, buckets, "transaction_id", f"{path}/lab")
+    joined = spark.table(left).join(spark.table(right), "transaction_id", "left")
     spark.sql(f"DROP TABLE {left}")
     spark.sql(f"DROP TABLE {right}")
     return joined

@@ -653,9 +653,9 @@ def statements() -> dict[str, str]:
             "in_users",
         ),
         "q_bucketed_join": _with(
-            """SELECT t.transaction_id, t.client_id, u.gender, u.credit_score FROM s_transactions t
-               LEFT JOIN (SELECT * FROM s_users WHERE is_current) u ON t.client_id = u.client_id""",
-            "s_transactions",
-            "s_users",
+            """SELECT t.id AS transaction_id, t.client_id, t.amount, l.is_fraud FROM in_transactions t
+               LEFT JOIN in_labels l ON t.id = l.transaction_id""",
+            "in_transactions",
+            "in_labels",
         ),
     }

@@ -103,6 +103,11 @@ def write_bucketed(
     (writer.option("path", location) if location else writer).saveAsTable(name)
 
 
+def bucket_count(rows: int, rows_per_bucket: int = 4_000_000, least: int = 16) -> int:
+    """Buckets that keep one bucket, hence one task, at a bounded number of rows."""
+    return max(least, -(-rows // rows_per_bucket))
+
+
 def fixed_files(df: DataFrame, files: int) -> DataFrame:
     """An exact number of output files; costs one shuffle."""
     return df.repartition(files)
