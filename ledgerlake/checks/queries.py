@@ -60,7 +60,6 @@ class Layers(Lake):
             self.silver_transactions, self.silver_users, self.silver_cards, self.mcc_codes, self.labels, START, END
         )
 
-    @cached_property
     def csv_source(self) -> source.Source:
         """The inputs exported as CSV, and loaded from there."""
         folder = shared_folder(self.spark)
@@ -184,15 +183,15 @@ def ingest_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layers(spark, sf_dir).csv_source.transactions
+    return layers(spark, sf_dir).csv_source().transactions
 
 
 def csv_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layers(spark, sf_dir).csv_source.users
+    return layers(spark, sf_dir).csv_source().users
 
 
 def csv_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layers(spark, sf_dir).csv_source.cards
+    return layers(spark, sf_dir).csv_source().cards
 
 
 def mcc_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -421,6 +420,17 @@ def latest_day_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.latest_day_summary(layers(spark, sf_dir).detail)
 
 
+def latest_day_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through a catalog view over a stored fact."""
+    name, view = _table_name("detail"), _table_name("vw")
+    tables.overwrite(layers(spark, sf_dir).detail, name, shared_folder(spark))
+    latest.create_latest_day_view(spark, view, name)
+    summary = spark.table(view)
+    spark.sql(f"DROP VIEW {view}")
+    spark.sql(f"DROP TABLE {name}")
+    return summary
+
+
 # ------------------------------------------------------------------ calendar, quality, sets
 
 
@@ -526,7 +536,7 @@ QUERIES: dict[str, Query] = {
         label_explode, jsonl_roundtrip, cdc_envelope, cdc_stream, scd2_users, scd2_cards, scd2_key_unique,
         silver_transactions, transaction_detail, daily_totals, daily_lags, peak_hour, top_mcc, top_merchant,
         new_clients_daily, market_daily_summary, history_head, merchant_month, merchant_prev_month,
-        merchant_client_split, merchant_monthly_performance, user_totals, user_detail, latest_day_summary,
+        merchant_client_split, merchant_monthly_performance, user_totals, user_detail, latest_day_summary, latest_day_view,
         calendar_windows, calendar_months, window_audit, row_counts, pk_violations, pk_lineitem, fk_violations,
         rule_violations, distinct_pairs, partition_overwrite, append_then_read, bucketed_join,
     )

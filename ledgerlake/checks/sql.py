@@ -417,6 +417,12 @@ def statements() -> dict[str, str]:
     labels = "SELECT transaction_id, is_fraud FROM in_labels"
     typed = "SELECT * FROM typed_transactions"
     silver = "SELECT * FROM s_transactions"
+    latest = _with(
+        f"""SELECT card_brand, card_type, txn_use_chip, txn_date, {_dec('sum(txn_amount)', 28, 4)} AS total_amount,
+            count(transaction_id) AS total_txn FROM detail
+            WHERE txn_date = (SELECT max(txn_date) FROM detail) GROUP BY ALL""",
+        "detail",
+    )
     return {
         "q_money_parse": _with(
             f"""SELECT id, load_at, {_clean('per_capita_income', 15, 2)} AS per_capita_income,
@@ -553,12 +559,8 @@ def statements() -> dict[str, str]:
             "totals",
             "top_merchant",
         ),
-        "q_latest_day_summary": _with(
-            f"""SELECT card_brand, card_type, txn_use_chip, txn_date, {_dec('sum(txn_amount)', 28, 4)} AS total_amount,
-                count(transaction_id) AS total_txn FROM detail
-                WHERE txn_date = (SELECT max(txn_date) FROM detail) GROUP BY ALL""",
-            "detail",
-        ),
+        "q_latest_day_summary": latest,
+        "q_latest_day_view": latest,
         "q_calendar_windows": _with(
             """SELECT CAST(w AS DATE) AS window_start, least(CAST(w AS DATE) + 6, end_date) AS window_end
                FROM (SELECT unnest(generate_series(CAST(start_date AS TIMESTAMP), CAST(end_date AS TIMESTAMP),

@@ -33,11 +33,25 @@ def _month_before(start: DateLike) -> dt.date:
     return first.replace(year=first.year - 1, month=12) if first.month == 1 else first.replace(month=first.month - 1)
 
 
-def client_months(detail: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
+def pairs_before(detail: DataFrame, start: DateLike) -> DataFrame:
+    """(merchant, client) pairs seen before the month that precedes ``start``, with their last month.
+
+    A table kept from run to run can take this function's place; see ``earlier`` below.
+    """
+    return (
+        in_window(detail, None, _month_before(start) - dt.timedelta(days=1))
+        .groupBy(*PAIR)
+        .agg(F.max(_month()).alias("period_month"))
+    )
+
+
+def client_months(
+    detail: DataFrame, start: DateLike, end: DateLike, earlier: DataFrame | None = None
+) -> DataFrame:
     """Measures per (merchant, client, month) from the month before ``start``, marked new or returning.
 
-    Older history only tells which pairs were seen before, so it is read as two columns and reduced to one row per
-    pair. Everything is combined before each shuffle; a hot merchant is spread over its clients.
+    Older history only tells which pairs were seen before, so it is read as pairs alone, or not at all when they are
+    given as ``earlier``. Everything is combined before each shuffle; a hot merchant is spread over its clients.
     """
     amount = F.col("txn_amount")
     recent_from = _month_before(start)
@@ -54,11 +68,7 @@ def client_months(detail: DataFrame, start: DateLike, end: DateLike) -> DataFram
             F.count_if("is_error").alias("error_txn_cnt"),
         )
     )
-    older = (
-        in_window(detail, None, recent_from - dt.timedelta(days=1))
-        .groupBy(*PAIR)
-        .agg(F.max(_month()).alias("period_month"))
-    )
+    older = pairs_before(detail, start) if earlier is None else earlier
     every = recent.unionByName(older, allowMissingColumns=True)
     return every.withColumn("is_new", first_month_flag(every, PAIR, "period_month", "client_id")).where(
         F.col("period_month") >= s.date_lit(recent_from)
@@ -98,12 +108,13 @@ def merchant_monthly_performance(
     start: DateLike,
     end: DateLike,
     updated_at: Column | None = None,
+    earlier: DataFrame | None = None,
     wide: bool = False,
 ) -> DataFrame:
     """One row per merchant and month with transactions, from the first of ``start``'s month, all months in one job."""
     first = as_date(start).replace(day=1)
     months = previous_month_values(
-        merchant_months(client_months(detail, start, end)), "merchant_id", "period_month", PREVIOUS
+        merchant_months(client_months(detail, start, end, earlier)), "merchant_id", "period_month", PREVIOUS
     ).where(F.col("period_month") >= s.date_lit(first))
     reach = merchant_reach(detail, start, end)
     joined = months.join(

@@ -17,7 +17,22 @@ SETTINGS = {
 }
 
 
-def configured(builder: SparkSession.Builder) -> SparkSession.Builder:
+SHUFFLE_BYTES_PER_TASK = 128 * 1024**2
+
+
+def initial_partitions(input_bytes: int, least: int = 200) -> int:
+    """Shuffle partitions to start from; adaptive execution merges those that turn out small."""
+    return max(least, -(-input_bytes // SHUFFLE_BYTES_PER_TASK))
+
+
+def configured(builder: SparkSession.Builder, input_bytes: int | None = None) -> SparkSession.Builder:
+    """Apply the settings; with the size of the largest input, shuffles are cut finely enough for it.
+
+    The default of 200 partitions would mean hundreds of gigabytes per task when the whole fact is joined.
+    """
     for name, value in SETTINGS.items():
         builder = builder.config(name, value)
+    if input_bytes is not None:
+        name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        builder = builder.config(name, str(initial_partitions(input_bytes)))
     return builder

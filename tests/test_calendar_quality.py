@@ -123,3 +123,10 @@ def test_calendar_lag_is_not_the_previous_row(spark):
         (D(2019, 1, 1), 1, None, None), (D(2019, 1, 2), 2, 1, None), (D(2019, 1, 4), 4, None, None),
         (D(2019, 1, 8), None, None, 1),
     }
+
+
+def test_shuffle_size_follows_the_input():
+    from ledgerlake.settings import initial_partitions
+
+    assert initial_partitions(10**9) == 200
+    assert initial_partitions(100 * 10**12) == 745_059

@@ -10,7 +10,7 @@ import pytest
 
 from ledgerlake import schemas
 from ledgerlake.checks.inputs import Lake
-from ledgerlake.checks.queries import AS_OF, END, QUERIES, START, Layers
+from ledgerlake.checks.queries import END, QUERIES, START, Layers
 from ledgerlake.plans import market, merchant, silver, user
 from ledgerlake.plans.detail import transaction_detail
 from ledgerlake.sinks import tables
@@ -62,7 +62,8 @@ def test_daily_totals_add_up_to_the_fact(lake):
 
 def small_detail(spark, transactions, labels, codes):
     users = spark.createDataFrame(
-        [(10, 1, 1990, "a"), (11, 1, 1991, "b"), (None, 2, 1970, "c")], "client_key bigint, client_id int, birth_year int, address string"
+        [(10, 1, 1990, "a"), (11, 1, 1991, "b"), (None, 2, 1970, "c")],
+        "client_key bigint, client_id int, birth_year int, address string",
     ).withColumns({c: F.lit(1) for c in ("latitude", "longitude", "credit_score", "num_credit_cards")})
     cards = spark.createDataFrame(
         [(20, 5, "V", Decimal("100.00"), "Yes"), (21, 6, "M", None, None)],
@@ -156,11 +157,10 @@ def hot_transactions(spark, n=60_000):
         F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 5000).cast("int").alias("client_id"),
         F.sha2(F.col("id").cast("string"), 512).alias("zip_text"),
     )
-    row = base.first().asDict()
-    return rows.select(
-        "id", "client_id", *(F.lit(v).cast(schemas.BRONZE_TRANSACTIONS[k]).alias(k) if k != "zip" else F.col("zip_text").alias("zip")
-                             for k, v in row.items())
-    )
+    fixed = [
+        F.lit(v).cast(schemas.BRONZE_TRANSACTIONS[k]).alias(k) for k, v in base.first().asDict().items() if k != "zip"
+    ]
+    return rows.select("id", "client_id", F.col("zip_text").alias("zip"), *fixed)
 
 
 SKEW = {

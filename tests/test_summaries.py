@@ -73,6 +73,14 @@ def test_kept_first_dates_give_the_same(spark, rows):
     assert sorted(got.collect()) == sorted(market.new_clients(fact, *window).collect())
 
 
+def test_kept_pairs_give_the_same(spark, rows):
+    fact, window = facts.frame(spark, rows), WINDOWS[2]
+    kept = merchant.pairs_before(fact, window[0])
+    assert not kept.isEmpty()
+    got = merchant.merchant_monthly_performance(fact, *window, earlier=kept)
+    check(keyed(got, "merchant_id", "period_month"), facts.merchant_monthly(rows, *window))
+
+
 def test_wide_counts(spark, rows):
     df = market.market_daily_summary(facts.frame(spark, rows), *WINDOWS[1], wide=True)
     kinds = dict(df.dtypes)
