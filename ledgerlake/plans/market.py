@@ -52,7 +52,8 @@ def daily_totals(detail: DataFrame, start: DateLike | None, end: DateLike) -> Da
     daily = hourly.groupBy("period_date").agg(
         *(F.sum(c).alias(c) for c in measures), leader("txn_total_cnt", "txn_hour").alias("peak")
     )
-    mean = F.col("txn_total_amt") / F.when(F.col("amounts") > 0, F.col("amounts"))
+    # A wider dividend would leave the quotient only six decimals.
+    mean = F.col("txn_total_amt").cast("decimal(28,4)") / F.when(F.col("amounts") > 0, F.col("amounts"))
     return daily.select(
         "period_date",
         *(F.col(c).cast("decimal(28,4)").alias(c) for c in ("txn_total_amt", "txn_pos_amt")),

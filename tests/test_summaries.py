@@ -133,6 +133,21 @@ def test_latest_day(spark, rows):
     assert {r.txn_date for r in got} == {last}
 
 
+def test_mean_is_rounded_from_eight_decimals(spark):
+    """The mean 0.00499975 is 0.00; rounding to six decimals on the way would make it 0.01."""
+    values = [Decimal("0.0050")] * 399 + [Decimal("0.0049")]
+    rows = [
+        facts.Row(
+            transaction_id=i, client_id=1, merchant_id=1, merchant_city="x", merchant_state="s", mcc=1,
+            txn_amount=v, txn_date_time=dt.datetime(2019, 1, 3), is_fraud=False, is_error=False,
+        )
+        for i, v in enumerate(values)
+    ]
+    got = market.market_daily_summary(facts.frame(spark, rows), "2019-01-01", "2019-01-31").first()
+    want = facts.frame(spark, rows).selectExpr("cast(avg(txn_amount) as decimal(12,2))").first()[0]
+    assert got.txn_avg_amt == want == Decimal("0.00")
+
+
 def test_gap_month_is_not_the_previous_month(spark):
     rows = [
         facts.Row(
