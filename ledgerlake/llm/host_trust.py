@@ -15,8 +15,6 @@ host that neither kind of seed reaches. Repeated pages get a row each. Only page
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,7 +115,7 @@ def host_verdicts(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -
     distrust = spread(back, tally.where("balance < 0").select("host"))
     both = trust.withColumnRenamed("rank", "trust").join(distrust.withColumnRenamed("rank", "distrust"), "host", "full")
     both = both.na.fill(0.0, ["trust", "distrust"])
-    share = F.col("distrust") / (F.col("trust") + F.col("distrust"))
+    share = F.try_divide("distrust", F.col("trust") + F.col("distrust"))  # null where neither reaches
     return both.withColumn("blocked", F.coalesce(share > threshold, F.lit(False)))
 
 
@@ -132,7 +130,3 @@ def filter_urls(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) ->
         F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"),
     )
 
-
-def rule_sql(rules=RULES) -> list[str]:
-    """Each rule as a line of text, longest first."""
-    return [f"{verdict} {host}{path}" for verdict, host, path in reduce(lambda out, r: [*out, r], sorted(rules, key=lambda r: -len(r[1] + r[2])), [])]
