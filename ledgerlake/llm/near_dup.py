@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.components import components
-from ledgerlake.llm.text import Tokens, mix, pieces, raw, windows
+from ledgerlake.llm.text import Tokens, mix, pieces, raw, runs, windows
 
 SHINGLE, TREES, DEPTH, PERCENT = 5, 16, 4, 85
 REGION, BLOCK, SMALL = 2048, 1500, 6
@@ -97,39 +97,6 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text", "xxhash64(cast(text as string)) h")
 
 
-def _runs(batches: Iterator[pa.RecordBatch], key: list[str], columns: list[str], most: int | None = None) -> Iterator[tuple[dict, bool]]:
-    """Rows of a stream sorted by `key`, a run of equal keys at a time; runs longer than `most` come in parts.
-    Yields the columns of a part and whether the run goes on after it."""
-    held: list[pa.Table] = []
-    n_held = 0
-
-    def changes(table: pa.Table) -> np.ndarray:
-        values = [table[k].to_numpy() for k in key]
-        return np.flatnonzero(np.any([v[1:] != v[:-1] for v in values], axis=0)) + 1
-
-    def last_key(table: pa.Table) -> tuple:
-        return tuple(table[k][-1].as_py() for k in key)
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch]).select(columns)
-        cuts = [0, *changes(table), table.num_rows]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            part = table.slice(a, b - a)
-            if held and last_key(held[-1]) != last_key(part.slice(0, 1)):
-                yield pa.concat_tables(held), False
-                held, n_held = [], 0
-            held.append(part)
-            n_held += part.num_rows
-            while most and n_held > most:
-                whole = pa.concat_tables(held)
-                yield whole.slice(0, most), True
-                held, n_held = [whole.slice(most)], n_held - most
-    if held:
-        yield pa.concat_tables(held), False
-
-
 def _classes(linked: np.ndarray) -> np.ndarray:
     """The smallest index connected with each, from a symmetric boolean matrix."""
     n = len(linked)
@@ -180,7 +147,7 @@ def forest_neighbours(texts: DataFrame) -> DataFrame:
 
         waiting: list[pa.Table] = []
         n_waiting = 0
-        for part, more in _runs(batches, ["region"], ["region", "doc_id", "n_shingles", "tops"], REGION):
+        for part, more in runs(batches, ["region"], ["region", "doc_id", "n_shingles", "tops"], REGION):
             if not more and tail is None and part.num_rows <= SMALL:
                 if part.num_rows > 1:
                     waiting.append(part)
@@ -246,7 +213,7 @@ def confirmed_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     dealt = dealt.select("doc_id", "h", "component", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, _ in _runs(batches, ["component", "a", "b"], ["component", "a", "b", "doc_id", "sets"]):
+        for part, _ in runs(batches, ["component", "a", "b"], ["component", "a", "b", "doc_id", "sets"]):
             if part.num_rows < 2:
                 continue
             packed = part["sets"].to_pylist()

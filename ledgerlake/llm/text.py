@@ -85,6 +85,39 @@ def windows(hashes: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, n
     return out[starts], counts
 
 
+def runs(batches: Iterator[pa.RecordBatch], key: list[str], columns: list[str], most: int | None = None) -> Iterator[tuple[pa.Table, bool]]:
+    """Rows of a stream sorted by `key`, a run of equal keys at a time; runs longer than `most` come in parts.
+    Yields a part and whether the run goes on after it."""
+    held: list[pa.Table] = []
+    n_held = 0
+
+    def changes(table: pa.Table) -> np.ndarray:
+        values = [table[k].to_numpy() for k in key]
+        return np.flatnonzero(np.any([v[1:] != v[:-1] for v in values], axis=0)) + 1
+
+    def last_key(table: pa.Table) -> tuple:
+        return tuple(table[k][-1].as_py() for k in key)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch]).select(columns)
+        cuts = [0, *changes(table), table.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            part = table.slice(a, b - a)
+            if held and last_key(held[-1]) != last_key(part.slice(0, 1)):
+                yield pa.concat_tables(held), False
+                held, n_held = [], 0
+            held.append(part)
+            n_held += part.num_rows
+            while most and n_held > most:
+                whole = pa.concat_tables(held)
+                yield whole.slice(0, most), True
+                held, n_held = [whole.slice(most)], n_held - most
+    if held:
+        yield pa.concat_tables(held), False
+
+
 def held_out(doc_id: Column, remainder: int) -> Column:
     """crc32 of the id as text, modulo 5, equals `remainder`; false for a null id."""
     return F.coalesce(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == remainder, F.lit(False))
