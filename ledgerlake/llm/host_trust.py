@@ -26,7 +26,7 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-STEPS, DAMPING, THRESHOLD, CUT_EVERY = 12, 0.85, 0.5, 4
+STEPS, DAMPING, THRESHOLD, CUT_EVERY = 12, 0.85, 0.5, 3
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -73,34 +73,24 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def spread(edges: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: float = DAMPING) -> DataFrame:
-    """(host, rank): personalised PageRank. `edges` (src, dst) are distinct; `seeds` (host) share the jump equally.
-    What a host without outgoing edges holds returns to the seeds, so ranks sum to one."""
-    nodes = edges.selectExpr("src host").union(edges.selectExpr("dst host")).union(seeds.select("host")).distinct()
-    degree = edges.groupBy(F.col("src").alias("host")).agg(F.count(F.lit(1)).alias("degree"))
-    total = F.sum(F.col("is_seed").cast("double"))
-    marked = nodes.join(seeds.select("host", F.lit(True).alias("is_seed")), "host", "left").join(degree, "host", "left")
-    share = marked.agg(F.greatest(F.coalesce(total, F.lit(0.0)), F.lit(1.0)).alias("n_seeds"))
-    ranks = marked.crossJoin(F.broadcast(share)).select(  # `share` is one row
-        "host", "degree", F.when(F.col("is_seed"), 1 / F.col("n_seeds")).otherwise(0.0).alias("jump")
-    )
-    ranks = ranks.withColumn("rank", F.col("jump")).checkpoint()
+    """(kind, host, rank): personalised PageRank of several graphs at once. `edges` (kind, src, dst) are distinct; the
+    `seeds` (kind, host) of a kind share its jump equally. What reaches a host without outgoing edges ends there."""
+    degree = edges.groupBy("kind", "src").agg(F.count(F.lit(1)).alias("degree"))
+    number = seeds.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    parts = edges.join(degree, ["kind", "src"]).select("kind", "src", "dst", (damping / F.col("degree")).alias("part")).checkpoint()
+    start = seeds.join(number, "kind").select("kind", "host", (1 / F.col("n")).alias("rank")).checkpoint()
+    jump, ranks = start.select("kind", "host", ((1 - damping) * F.col("rank")).alias("rank")), start
     for step in range(1, steps + 1):
-        sent = edges.join(ranks.select(F.col("host").alias("src"), (F.col("rank") / F.col("degree")).alias("part")), "src")
-        arrived = sent.groupBy(F.col("dst").alias("host")).agg(F.sum("part").alias("got"))
-        lost = ranks.agg(F.coalesce(F.sum(F.when(F.col("degree").isNull(), F.col("rank"))), F.lit(0.0)).alias("lost"))
-        ranks = (
-            ranks.join(arrived, "host", "left")
-            .crossJoin(F.broadcast(lost))  # one row
-            .withColumn("rank", (1 - damping) * F.col("jump") + damping * (F.coalesce("got", F.lit(0.0)) + F.col("lost") * F.col("jump")))
-            .drop("got", "lost")
-        )
+        sent = parts.join(ranks.withColumnRenamed("host", "src"), ["kind", "src"])
+        sent = sent.select("kind", F.col("dst").alias("host"), (F.col("part") * F.col("rank")).alias("rank"))
+        ranks = sent.unionByName(jump).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         if step % CUT_EVERY == 0 or step == steps:
             ranks = ranks.checkpoint()
-    return ranks.select("host", "rank")
+    return ranks
 
 
 def host_verdicts(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFrame:
-    """(host, trust, distrust, blocked) of every host of the pages and its links."""
+    """(host, trust, distrust, blocked) of every host that trust or distrust reaches."""
     ruled = pages.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     ruled = ruled.select("host", fitting_rule(F.col("host"), F.col("path"), rules)["verdict"].alias("verdict"))
     # a host is a seed of the kind that most of its ruled pages have; ties are no seed
@@ -109,13 +99,16 @@ def host_verdicts(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -
         .groupBy("host")
         .agg(F.sum(F.when(F.col("verdict") == "allow", 1).otherwise(-1)).alias("balance"))
     )
+    seeds = tally.where("balance <> 0").select(F.when(F.col("balance") > 0, "trust").otherwise("distrust").alias("kind"), "host")
     edges = host_edges(pages).checkpoint()
-    trust = spread(edges, tally.where("balance > 0").select("host"))
-    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    distrust = spread(back, tally.where("balance < 0").select("host"))
-    both = trust.withColumnRenamed("rank", "trust").join(distrust.withColumnRenamed("rank", "distrust"), "host", "full")
-    both = both.na.fill(0.0, ["trust", "distrust"])
-    share = F.try_divide("distrust", F.col("trust") + F.col("distrust"))  # null where neither reaches
+    back = edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"))
+    ranks = spread(edges.select(F.lit("trust").alias("kind"), "src", "dst").unionByName(back), seeds)
+
+    def of(kind: str):
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)).alias(kind)
+
+    both = ranks.groupBy("host").agg(of("trust"), of("distrust"))
+    share = F.try_divide("distrust", F.col("trust") + F.col("distrust"))
     return both.withColumn("blocked", F.coalesce(share > threshold, F.lit(False)))
 
 

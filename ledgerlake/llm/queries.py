@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import additive_model, boosted_rules, host_trust, toxic_spans
+from ledgerlake.llm import (
+    additive_model,
+    backoff_lm,
+    bin_packing,
+    boosted_rules,
+    host_trust,
+    line_templates,
+    near_dup,
+    semantic_leaks,
+    toxic_spans,
+)
 from ledgerlake.llm.text import held_out
 
 
@@ -31,6 +41,33 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared_folder(spark)
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document, before and after recurring ones were dropped."""
+    shared_folder(spark)
+    lines = F.size(F.split("text", "\n"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", lines.alias("n_lines"), F.length("text").alias("n_chars"))
+    kept = line_templates.drop_recurring_lines(docs)
+    return kept.select("doc_id", "n_lines", (F.col("n_lines") - lines).alias("n_dropped"), (F.col("n_chars") - F.length("text")).alias("chars_dropped"))
+
+
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return semantic_leaks.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared_folder(spark)
+    return backoff_lm.score_texts(_table(spark, sf_dir, "documents"))
+
+
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bin_packing.pack(bin_packing.count_tokens(_table(spark, sf_dir, "documents")))
+
+
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared_folder(spark)
     return host_trust.filter_urls(_table(spark, sf_dir, "pages"))
@@ -54,6 +91,11 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules,
+    "op2_near_dedup": near_dedup,
+    "op3_line_dedup": line_dedup,
+    "op4_decontamination": decontamination,
+    "op5_lm_scores": lm_scores,
+    "op6_packing": packing,
     "op8_url_filter": url_filter,
     "op9_toxicity": toxicity,
     "op10_quality_classifier": quality_classifier,
