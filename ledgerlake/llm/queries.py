@@ -15,6 +15,7 @@ from ledgerlake.llm import (
     host_trust,
     line_templates,
     near_dup,
+    passage_chains,
     semantic_leaks,
     toxic_spans,
 )
@@ -68,6 +69,11 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_packing.pack(bin_packing.count_tokens(_table(spark, sf_dir, "documents")))
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared_folder(spark)
+    return passage_chains.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared_folder(spark)
     return host_trust.filter_urls(_table(spark, sf_dir, "pages"))
@@ -96,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": decontamination,
     "op5_lm_scores": lm_scores,
     "op6_packing": packing,
+    "op7_substring_dedup": substring_dedup,
     "op8_url_filter": url_filter,
     "op9_toxicity": toxicity,
     "op10_quality_classifier": quality_classifier,
