@@ -6,9 +6,10 @@ import compare
 import pytest
 
 import __spark_entry__ as contract
+from ledgerlake.checks import queries, sql
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = queries.QUERIES, sql.statements()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
