@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from ledgerlake.checks.inputs import Lake, given
-from ledgerlake.checks.queries import AS_OF, END, START
+from ledgerlake.checks.queries import AS_OF
 from ledgerlake.plans import detail, latest, market, merchant, silver, user
 from ledgerlake.schemas import TABLES, ddl
 from ledgerlake.settings import configured
@@ -69,7 +69,7 @@ def main() -> None:
         "q_silver_cards": lambda: store(silver.silver_cards(stored("bronze.cards"), AS_OF), "silver.cards"),
         "q_silver_transactions": lambda: store(
             silver.silver_transactions(
-                stored("bronze.transactions"), stored("silver.users"), stored("silver.cards"), START, END
+                stored("bronze.transactions"), stored("silver.users"), stored("silver.cards")
             ),
             "silver.transactions",
         ),
@@ -80,17 +80,15 @@ def main() -> None:
                 stored("silver.cards"),
                 stored("bronze.mcc_codes"),
                 stored("bronze.train_fraud_labels"),
-                START,
-                END,
             ),
             "gold.transaction_detail",
             ["txn_year", "txn_month"],
         ),
         "q_market_daily_summary": lambda: store(
-            market.market_daily_summary(stored("gold.transaction_detail"), START, END), "gold.market_daily_summary"
+            market.market_daily_summary(stored("gold.transaction_detail")), "gold.market_daily_summary"
         ),
         "q_merchant_monthly_performance": lambda: store(
-            merchant.merchant_monthly_performance(stored("gold.transaction_detail"), START, END),
+            merchant.merchant_monthly_performance(stored("gold.transaction_detail")),
             "gold.merchant_monthly_performance",
         ),
         "q_user_detail": lambda: store(

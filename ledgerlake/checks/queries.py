@@ -23,8 +23,8 @@ from ..workspace import shared_folder
 from .inputs import Lake, cdc_records, given
 
 AS_OF = dt.date(2024, 6, 15)
-# A window around everything the given tables hold.
-START, END = dt.date(1990, 1, 1), dt.date(2010, 12, 31)
+# Windows inside the data, which cut months on both sides and leave history before them.
+START, END = dt.date(1995, 3, 15), dt.date(1996, 5, 20)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,29 +49,17 @@ class Layers(Lake):
 
     @cached_property
     def silver_transactions(self) -> DataFrame:
-        return self.silver_window(START, END)
+        return self.silver_window()
 
-    def silver_window(self, start: dt.date, end: dt.date) -> DataFrame:
+    def silver_window(self, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
         return silver.silver_transactions(self.transactions, self.silver_users, self.silver_cards, start, end)
 
     @cached_property
     def detail(self) -> DataFrame:
         return detail.transaction_detail(
-            self.silver_transactions, self.silver_users, self.silver_cards, self.mcc_codes, self.labels, START, END
+            self.silver_transactions, self.silver_users, self.silver_cards, self.mcc_codes, self.labels
         )
 
-    def csv_source(self) -> source.Source:
-        """The inputs exported as CSV, and loaded from there."""
-        folder = shared_folder(self.spark)
-        exports = {
-            "users": self.users.drop("load_at"),
-            "cards": self.cards.drop("load_at"),
-            "transactions": self.staged_transactions,
-        }
-        for name, df in exports.items():
-            df.write.options(**CSV_WRITE).csv(f"{folder}/{name}")
-        return source.load_source(self.spark, **{name: f"{folder}/{name}" for name in exports})
-
 
 @lru_cache(maxsize=4)
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
@@ -182,16 +170,23 @@ def ingest_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.ingest_table(staged_typing(spark, sf_dir), "transactions", _load_time())
 
 
+def _exported(df: DataFrame) -> str:
+    """The table as CSV files in a folder of its own."""
+    path = shared_folder(df.sparkSession)
+    df.write.options(**CSV_WRITE).csv(path)
+    return path
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layers(spark, sf_dir).csv_source().transactions
+    return source.load_transactions(spark, _exported(layers(spark, sf_dir).staged_transactions))
 
 
 def csv_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layers(spark, sf_dir).csv_source().users
+    return source.load_users(spark, _exported(layers(spark, sf_dir).users.drop("load_at")))
 
 
 def csv_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layers(spark, sf_dir).csv_source().cards
+    return source.load_cards(spark, _exported(layers(spark, sf_dir).cards.drop("load_at")))
 
 
 def mcc_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,13 +230,9 @@ def cdc_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a file stream, landed once, read back."""
+    """The events as a file stream, landed once, read back. A pattern stands for the table, be it a file or a folder."""
     folder = shared_folder(spark)
-    events = (
-        spark.readStream.schema(given(spark, sf_dir, "events").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    events = spark.readStream.schema(given(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/{{events.parquet}}")
     land_cdc(cdc_records(events), f"{folder}/table", f"{folder}/checkpoint", once=True).awaitTermination()
     return spark.read.parquet(f"{folder}/table").drop("ingestion_time", "ingestion_date")
 
@@ -292,7 +283,7 @@ def transaction_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = layers(spark, sf_dir).detail
-    totals = market.daily_totals(fact, START, END).join(market.daily_actives(fact, START, END), "period_date", "left")
+    totals = market.daily_totals(fact).join(market.daily_actives(fact), "period_date", "left")
     return totals.select(
         "period_date",
         *(F.col(f"txn_{part}_amt").cast("decimal(20,2)").alias(f"txn_{part}_amt") for part in ("total", "pos", "neg")),
@@ -308,19 +299,19 @@ def daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = market.with_lags(market.daily_totals(layers(spark, sf_dir).detail, START, END))
+    days = market.with_lags(market.daily_totals(layers(spark, sf_dir).detail))
     amounts = [s.or_zero(f"prev_{k}d_amt").cast("decimal(20,2)").alias(f"prev_{k}d_amt") for k in market.LAGS]
     counts = [s.or_zero(f"prev_{k}d_cnt").cast("int").alias(f"prev_{k}d_cnt") for k in market.LAGS]
     return days.select("period_date", *amounts, *counts)
 
 
 def peak_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = market.daily_totals(layers(spark, sf_dir).detail, START, END)
+    totals = market.daily_totals(layers(spark, sf_dir).detail)
     return totals.select("period_date", "peak_hour", "peak_hour_cnt")
 
 
 def top_mcc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return market.daily_top_category(layers(spark, sf_dir).detail, START, END)
+    return market.daily_top_category(layers(spark, sf_dir).detail)
 
 
 def top_merchant(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -329,16 +320,16 @@ def top_merchant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def new_clients_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return market.new_clients(layers(spark, sf_dir).detail, START, END)
+    return market.new_clients(layers(spark, sf_dir).detail)
 
 
 def market_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return market.market_daily_summary(layers(spark, sf_dir).detail, START, END).drop("updated_at")
+    return market.market_daily_summary(layers(spark, sf_dir).detail).drop("updated_at")
 
 
 def history_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First ten days of history, the look at the data before the summary is built."""
-    totals = market.daily_totals(layers(spark, sf_dir).detail, START, END)
+    totals = market.daily_totals(layers(spark, sf_dir).detail)
     return (
         totals.select(
             F.col("period_date").alias("hist_date"),
@@ -361,8 +352,8 @@ MONTH_AMOUNTS = ("rev_total", "rev_positive", "rev_negative", "txn_total_amt")
 
 def merchant_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = layers(spark, sf_dir).detail
-    months = merchant.merchant_months(merchant.client_months(fact, START, END))
-    reach = merchant.merchant_reach(fact, START, END)
+    months = merchant.merchant_months(merchant.client_months(fact))
+    reach = merchant.merchant_reach(fact)
     joined = months.join(
         reach,
         F.col("merchant_id").eqNullSafe(F.col("reach_id")) & (F.col("period_month") == F.col("reach_month")),
@@ -377,7 +368,7 @@ def merchant_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merchant_prev_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    months = merchant.merchant_months(merchant.client_months(layers(spark, sf_dir).detail, START, END))
+    months = merchant.merchant_months(merchant.client_months(layers(spark, sf_dir).detail))
     before = merchant.previous_month_values(months, "merchant_id", "period_month", merchant.PREVIOUS)
     kinds = {"prev_rev_total": "decimal(18,2)", "prev_rev_positive": "decimal(18,2)"}
     return before.select(
@@ -388,14 +379,14 @@ def merchant_prev_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merchant_client_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    months = merchant.merchant_months(merchant.client_months(layers(spark, sf_dir).detail, START, END))
+    months = merchant.merchant_months(merchant.client_months(layers(spark, sf_dir).detail))
     return months.where("merchant_id IS NOT NULL").select(
         "merchant_id", "period_month", "new_client_cnt", "returning_client_cnt"
     )
 
 
 def merchant_monthly_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merchant.merchant_monthly_performance(layers(spark, sf_dir).detail, START, END).drop("updated_at")
+    return merchant.merchant_monthly_performance(layers(spark, sf_dir).detail).drop("updated_at")
 
 
 def user_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -431,6 +422,30 @@ def latest_day_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary
 
 
+# ------------------------------------------------------------------ windows that cut
+
+
+def detail_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = layers(spark, sf_dir)
+    silver_rows = lake.silver_window(*widen_to_months(START, END))
+    rows = detail.transaction_detail(silver_rows, lake.silver_users, lake.silver_cards, lake.mcc_codes, lake.labels, START, END)
+    return rows.drop("client_key", "card_key", "created_at")
+
+
+def market_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lags look back before the window, and a client is new only if it was never seen before."""
+    return market.market_daily_summary(layers(spark, sf_dir).detail, START, END).drop("updated_at")
+
+
+def new_clients_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return market.new_clients(layers(spark, sf_dir).detail, START, END)
+
+
+def merchant_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the first of the first month, compared with the full month before; the last month is cut at the end."""
+    return merchant.merchant_monthly_performance(layers(spark, sf_dir).detail, START, END).drop("updated_at")
+
+
 # ------------------------------------------------------------------ calendar, quality, sets
 
 
@@ -508,7 +523,7 @@ def append_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.append(lake.users, name)
     tables.append(bronze.ingest_table(lake.users.drop("load_at"), "users", _load_time()), name)
     spark.sql(f"DROP TABLE {name}")
-    return spark.read.parquet(path).select("id", "per_capita_income", "load_at")
+    return spark.read.parquet(path)
 
 
 def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -539,5 +554,6 @@ QUERIES: dict[str, Query] = {
         merchant_client_split, merchant_monthly_performance, user_totals, user_detail, latest_day_summary, latest_day_view,
         calendar_windows, calendar_months, window_audit, row_counts, pk_violations, pk_lineitem, fk_violations,
         rule_violations, distinct_pairs, partition_overwrite, append_then_read, bucketed_join,
+        detail_window, market_window, new_clients_window, merchant_window,
     )
 }

@@ -7,6 +7,7 @@ statement as common table expressions.
 from __future__ import annotations
 
 AS_OF_YEAR, AS_OF_MONTH = 2024, 6
+FIRST_DAY, LAST_DAY = "1995-03-15", "1996-05-20"
 
 MONEY = "concat('$', format('{{:,.2f}}', {}))"
 
@@ -339,7 +340,8 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def _with(statement: str, *steps: str) -> str:
+def _with(statement: str, *steps: str, last_day: str | None = None) -> str:
+    """`last_day` leaves out what is later in the fact, but nothing that is earlier."""
     order: list[str] = []
 
     def visit(name: str) -> None:
@@ -352,7 +354,10 @@ def _with(statement: str, *steps: str) -> str:
         visit(step)
     if not order:
         return statement.strip()
-    return "WITH " + ",\n".join(f"{name} AS ({STEPS[name][1].strip()})" for name in order) + "\n" + statement.strip()
+    bodies = {name: STEPS[name][1].strip() for name in order}
+    if last_day is not None:
+        bodies["detail"] = f"SELECT * FROM ({bodies['detail']}) WHERE txn_date <= DATE '{last_day}'"
+    return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in bodies.items()) + "\n" + statement.strip()
 
 
 DAILY_OUT = f"""
@@ -423,7 +428,27 @@ def statements() -> dict[str, str]:
             WHERE txn_date = (SELECT max(txn_date) FROM detail) GROUP BY ALL""",
         "detail",
     )
+    market = f"""SELECT {DAILY_OUT}, {LAGS_OUT}, {_int('d.clients')} AS client_unique_cnt,
+            {_int('coalesce(n.client_new_cnt, 0)')} AS client_new_cnt,
+            {_int('d.merchants')} AS merchant_active_cnt,
+            {_int('coalesce(m.merchant_top_mcc, 0)')} AS merchant_top_mcc,
+            {_int('m.merchant_top_mcc_cnt')} AS merchant_top_mcc_cnt, h.peak_hour,
+            {_int('h.peak_hour_cnt')} AS peak_hour_cnt, {_int('year(d.period_date)')} AS year,
+            {_int('month(d.period_date)')} AS month
+            FROM daily d {LAG_JOINS} JOIN peak h ON d.period_date = h.period_date
+            JOIN top_mcc m ON d.period_date = m.period_date
+            LEFT JOIN newcomers n ON d.period_date = n.period_date"""
+    merchants = f"""SELECT coalesce(m.merchant_id, 0) AS merchant_id, m.period_month, {MONTH_OUT}, {PREVIOUS_OUT},
+            {_int('coalesce(s.new_client_cnt, 0)')} AS new_client_cnt,
+            {_int('coalesce(s.returning_client_cnt, 0)')} AS returning_client_cnt,
+            {_int('year(m.period_month)')} AS year, {_int('month(m.period_month)')} AS month
+            FROM monthly m {PREVIOUS_JOIN} LEFT JOIN client_split s
+            ON m.merchant_id = s.merchant_id AND m.period_month = s.period_month"""
     return {
+        "q_detail_window": _with(f"SELECT {DETAIL_COLUMNS} FROM detail WHERE txn_date >= DATE '{FIRST_DAY}'", "detail", last_day=LAST_DAY),
+        "q_market_window": _with(f"{market} WHERE d.period_date >= DATE '{FIRST_DAY}'", "daily", "peak", "top_mcc", "newcomers", last_day=LAST_DAY),
+        "q_new_clients_window": _with(f"SELECT * FROM newcomers WHERE period_date >= DATE '{FIRST_DAY}'", "newcomers", last_day=LAST_DAY),
+        "q_merchant_window": _with(f"{merchants} WHERE m.period_month >= DATE '{FIRST_DAY[:8]}01'", "monthly", "client_split", last_day=LAST_DAY),
         "q_money_parse": _with(
             f"""SELECT id, load_at, {_clean('per_capita_income', 15, 2)} AS per_capita_income,
                 {_clean('yearly_income', 15, 2)} AS yearly_income, {_clean('total_debt', 15, 2)} AS total_debt
@@ -509,16 +534,7 @@ def statements() -> dict[str, str]:
         "q_top_merchant": _with("SELECT * FROM top_merchant", "top_merchant"),
         "q_new_clients_daily": _with("SELECT * FROM newcomers", "newcomers"),
         "q_market_daily_summary": _with(
-            f"""SELECT {DAILY_OUT}, {LAGS_OUT}, {_int('d.clients')} AS client_unique_cnt,
-                {_int('coalesce(n.client_new_cnt, 0)')} AS client_new_cnt,
-                {_int('d.merchants')} AS merchant_active_cnt,
-                {_int('coalesce(m.merchant_top_mcc, 0)')} AS merchant_top_mcc,
-                {_int('m.merchant_top_mcc_cnt')} AS merchant_top_mcc_cnt, h.peak_hour,
-                {_int('h.peak_hour_cnt')} AS peak_hour_cnt, {_int('year(d.period_date)')} AS year,
-                {_int('month(d.period_date)')} AS month
-                FROM daily d {LAG_JOINS} JOIN peak h ON d.period_date = h.period_date
-                JOIN top_mcc m ON d.period_date = m.period_date
-                LEFT JOIN newcomers n ON d.period_date = n.period_date""",
+            market,
             "daily",
             "peak",
             "top_mcc",
@@ -530,12 +546,7 @@ def statements() -> dict[str, str]:
         ),
         "q_merchant_client_split": _with("SELECT * FROM client_split", "client_split"),
         "q_merchant_monthly_performance": _with(
-            f"""SELECT coalesce(m.merchant_id, 0) AS merchant_id, m.period_month, {MONTH_OUT}, {PREVIOUS_OUT},
-                {_int('coalesce(s.new_client_cnt, 0)')} AS new_client_cnt,
-                {_int('coalesce(s.returning_client_cnt, 0)')} AS returning_client_cnt,
-                {_int('year(m.period_month)')} AS year, {_int('month(m.period_month)')} AS month
-                FROM monthly m {PREVIOUS_JOIN} LEFT JOIN client_split s
-                ON m.merchant_id = s.merchant_id AND m.period_month = s.period_month""",
+            merchants,
             "monthly",
             "client_split",
         ),
@@ -650,8 +661,8 @@ def statements() -> dict[str, str]:
             "SELECT DISTINCT merchant_id, client_id FROM in_transactions", "in_transactions"
         ),
         "q_append_then_read": _with(
-            """SELECT id, per_capita_income, load_at FROM in_users UNION ALL
-               SELECT id, per_capita_income, make_timestamp(2024, 6, 15, 0, 0, 0) FROM in_users""",
+            """SELECT * FROM in_users UNION ALL
+               SELECT * REPLACE (make_timestamp(2024, 6, 15, 0, 0, 0) AS load_at) FROM in_users""",
             "in_users",
         ),
         "q_bucketed_join": _with(

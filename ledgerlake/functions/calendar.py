@@ -53,24 +53,28 @@ def date_window_filter(
     df: DataFrame,
     moment: str,
     start: DateLike | None,
-    end: DateLike,
+    end: DateLike | None,
     partitions: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows whose date lies in the closed range; ``start`` None means since ever.
+    """Rows whose date lies in the closed range; ``start`` None means since ever, ``end`` None without a last day.
+
+    Without either bound every row stays, also one without a date.
 
     The date comparison on the timestamp becomes a pushed Parquet range. When the table is laid out by
     (year, month[, day]) of that timestamp, naming those columns also prunes whole partitions.
     """
-    day, last = F.to_date(moment), as_date(end)
-    condition = day <= date_lit(last)
-    for place, of in _places(partitions):
-        condition = condition & (place <= of(last))
+    day = F.to_date(moment)
+    if end is not None:
+        last = as_date(end)
+        df = df.where(day <= date_lit(last))
+        for place, of in _places(partitions):
+            df = df.where(place <= of(last))
     if start is not None:
         first = as_date(start)
-        condition = condition & (day >= date_lit(first))
+        df = df.where(day >= date_lit(first))
         for place, of in _places(partitions):
-            condition = condition & (place >= of(first))
-    return df.where(condition)
+            df = df.where(place >= of(first))
+    return df
 
 
 def _places(partitions: Sequence[str]) -> list[tuple[Column, Callable[[dt.date], int]]]:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from .functions.calendar import widen_to_months
 from .functions.scalars import DateLike
@@ -21,6 +22,7 @@ from .plans.silver import silver_cards, silver_transactions, silver_users
 from .plans.user import user_detail
 from .schemas import TABLES
 from .sinks import tables
+from .streaming.cdc import SOURCE_TABLES, land_cdc
 
 
 @dataclass(frozen=True)
@@ -74,6 +76,18 @@ class Lakehouse:
         labels = tables.balanced(bronze.ingest_labels(self.spark, path, layout=layout))
         return self._rewrite(labels, "bronze.train_fraud_labels")
 
+    def land(self, table: str, records: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
+        """Land the change records of ``users``, ``cards`` or ``transactions`` in a table of their own."""
+        if table not in SOURCE_TABLES:
+            raise ValueError(f"no change records of {table}")
+        name = self.name(f"bronze.cdc_{table}")
+        place = self.spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+        query = land_cdc(records, place, checkpoint, once=once)
+        if once:
+            query.awaitTermination()
+            self.spark.sql(f"MSCK REPAIR TABLE {name}")
+        return query
+
     # -------------------------------------------------------------- silver
 
     def build_users(self, as_of: DateLike) -> int:

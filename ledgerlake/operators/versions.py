@@ -23,7 +23,9 @@ def close_versions(df: DataFrame, key: str, loaded_at: str) -> DataFrame:
     """
     if "_fingerprint" in df.columns:
         raise ValueError("reserved column name: _fingerprint")
-    rows = df.withColumn("_fingerprint", F.xxhash64(*sorted(c for c in df.columns if c not in (key, loaded_at))))
+    others = sorted(c for c in df.columns if c not in (key, loaded_at))
+    # The hash passes over NULLs, so where they stand goes in as well.
+    rows = df.withColumn("_fingerprint", F.xxhash64(*others, *(F.isnull(c) for c in others)))
     loads = (
         rows.groupBy(F.col(key).alias("_key"), F.col(loaded_at).alias("_at"))
         .agg(F.max("_fingerprint").alias("_last"), F.count(F.lit(1)).alias("_rows"))

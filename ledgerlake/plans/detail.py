@@ -17,8 +17,8 @@ def transaction_detail(
     cards: DataFrame,
     mcc_codes: DataFrame,
     labels: DataFrame,
-    start: DateLike | None,
-    end: DateLike,
+    start: DateLike | None = None,
+    end: DateLike | None = None,
     created_at: Column | None = None,
     fraud_token: str = s.FRAUD_TOKEN,
 ) -> DataFrame:

@@ -19,16 +19,16 @@ LAGS = (1, 7, 30)
 FACT_PARTITIONS = ("txn_year", "txn_month", "txn_day")
 
 
-def in_window(detail: DataFrame, start: DateLike | None, end: DateLike) -> DataFrame:
+def in_window(detail: DataFrame, start: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
     partitions = [c for c in FACT_PARTITIONS if c in detail.columns]
     return date_window_filter(detail, "txn_date_time", start, end, partitions)
 
 
-def _by_date(detail: DataFrame, start: DateLike | None, end: DateLike) -> DataFrame:
+def _by_date(detail: DataFrame, start: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
     return in_window(detail, start, end).withColumn("period_date", F.to_date("txn_date_time"))
 
 
-def daily_totals(detail: DataFrame, start: DateLike | None, end: DateLike) -> DataFrame:
+def daily_totals(detail: DataFrame, start: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
     """Amounts, counts and peak hour per day.
 
     The fact is first combined to (day, hour), 24 rows a day at most. Totals and the busiest hour both come out of
@@ -67,7 +67,7 @@ def daily_totals(detail: DataFrame, start: DateLike | None, end: DateLike) -> Da
     )
 
 
-def daily_top_category(detail: DataFrame, start: DateLike | None, end: DateLike) -> DataFrame:
+def daily_top_category(detail: DataFrame, start: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
     """Busiest merchant category per day."""
     return top_per_group(
         _by_date(detail, start, end),
@@ -78,7 +78,7 @@ def daily_top_category(detail: DataFrame, start: DateLike | None, end: DateLike)
     )
 
 
-def daily_actives(detail: DataFrame, start: DateLike | None, end: DateLike) -> DataFrame:
+def daily_actives(detail: DataFrame, start: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
     """Exact distinct clients and merchants per day."""
     return distinct_counts(
         in_window(detail, start, end),
@@ -88,19 +88,19 @@ def daily_actives(detail: DataFrame, start: DateLike | None, end: DateLike) -> D
 
 
 def new_clients(
-    detail: DataFrame, start: DateLike | None, end: DateLike, first_dates: DataFrame | None = None
+    detail: DataFrame, start: DateLike | None = None, end: DateLike | None = None, first_dates: DataFrame | None = None
 ) -> DataFrame:
     """Clients per day whose first transaction ever was that day.
 
     ``first_dates`` is an optional kept table (``client_id``, ``first_date``) that saves reading all history.
     """
     seen = first_dates if first_dates is not None else first_seen(in_window(detail, None, end), "client_id", "txn_date_time")
-    inside = F.col("first_date") <= s.date_lit(end)
+    if end is not None:
+        seen = seen.where(F.col("first_date") <= s.date_lit(end))
     if start is not None:
-        inside = inside & (F.col("first_date") >= s.date_lit(start))
+        seen = seen.where(F.col("first_date") >= s.date_lit(start))
     return (
-        seen.where(inside)
-        .groupBy(F.col("first_date").alias("period_date"))
+        seen.groupBy(F.col("first_date").alias("period_date"))
         .agg(F.count("client_id").alias("client_new_cnt"))
     )
 
@@ -113,18 +113,20 @@ def with_lags(totals: DataFrame) -> DataFrame:
 
 def market_daily_summary(
     detail: DataFrame,
-    start: DateLike,
-    end: DateLike,
+    start: DateLike | None = None,
+    end: DateLike | None = None,
     updated_at: Column | None = None,
     first_dates: DataFrame | None = None,
     wide: bool = False,
 ) -> DataFrame:
-    """One row per day with transactions in the closed window, all windows in one job.
+    """One row per day with transactions in the closed window, or on any day without one; all windows in one job.
 
     Four scans of few columns each, instead of one wide one: every shuffle then carries only what its grouping needs.
     """
-    look_back = as_date(start) - dt.timedelta(days=max(LAGS))
-    days = with_lags(daily_totals(detail, look_back, end)).where(F.col("period_date") >= s.date_lit(start))
+    look_back = None if start is None else as_date(start) - dt.timedelta(days=max(LAGS))
+    days = with_lags(daily_totals(detail, look_back, end))
+    if start is not None:
+        days = days.where(F.col("period_date") >= s.date_lit(start))
     joined = (
         days.join(daily_top_category(detail, start, end), "period_date", "left")
         .join(daily_actives(detail, start, end), "period_date", "left")

@@ -46,7 +46,7 @@ def pairs_before(detail: DataFrame, start: DateLike) -> DataFrame:
 
 
 def client_months(
-    detail: DataFrame, start: DateLike, end: DateLike, earlier: DataFrame | None = None
+    detail: DataFrame, start: DateLike | None = None, end: DateLike | None = None, earlier: DataFrame | None = None
 ) -> DataFrame:
     """Measures per (merchant, client, month) from the month before ``start``, marked new or returning.
 
@@ -54,7 +54,7 @@ def client_months(
     given as ``earlier``. Everything is combined before each shuffle; a hot merchant is spread over its clients.
     """
     amount = F.col("txn_amount")
-    recent_from = _month_before(start)
+    recent_from = None if start is None else _month_before(start)
     recent = (
         in_window(detail, recent_from, end)
         .groupBy(*PAIR, _month().alias("period_month"))
@@ -68,6 +68,8 @@ def client_months(
             F.count_if("is_error").alias("error_txn_cnt"),
         )
     )
+    if start is None:
+        return recent.withColumn("is_new", first_month_flag(recent, PAIR, "period_month", "client_id"))
     older = pairs_before(detail, start) if earlier is None else earlier
     every = recent.unionByName(older, allowMissingColumns=True)
     return every.withColumn("is_new", first_month_flag(every, PAIR, "period_month", "client_id")).where(
@@ -94,28 +96,30 @@ def merchant_months(pairs: DataFrame) -> DataFrame:
     )
 
 
-def merchant_reach(detail: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
+def merchant_reach(detail: DataFrame, start: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
     """Exact distinct cities, states and categories per (merchant, month)."""
     return distinct_counts(
-        in_window(detail, as_date(start).replace(day=1), end),
+        in_window(detail, None if start is None else as_date(start).replace(day=1), end),
         {"reach_id": F.col("merchant_id"), "reach_month": _month()},
         {"active_city_cnt": "merchant_city", "active_state_cnt": "merchant_state", "active_mcc_cnt": "mcc"},
+        few_combinations=True,  # a merchant has few places and categories
     )
 
 
 def merchant_monthly_performance(
     detail: DataFrame,
-    start: DateLike,
-    end: DateLike,
+    start: DateLike | None = None,
+    end: DateLike | None = None,
     updated_at: Column | None = None,
     earlier: DataFrame | None = None,
     wide: bool = False,
 ) -> DataFrame:
     """One row per merchant and month with transactions, from the first of ``start``'s month, all months in one job."""
-    first = as_date(start).replace(day=1)
     months = previous_month_values(
         merchant_months(client_months(detail, start, end, earlier)), "merchant_id", "period_month", PREVIOUS
-    ).where(F.col("period_month") >= s.date_lit(first))
+    )
+    if start is not None:
+        months = months.where(F.col("period_month") >= s.date_lit(as_date(start).replace(day=1)))
     reach = merchant_reach(detail, start, end)
     joined = months.join(
         reach,

@@ -64,14 +64,15 @@ def silver_transactions(
     bronze: DataFrame,
     users: DataFrame,
     cards: DataFrame,
-    start: DateLike | None,
-    end: DateLike,
+    start: DateLike | None = None,
+    end: DateLike | None = None,
     updated_at: Column | None = None,
 ) -> DataFrame:
     """Typed transactions of a date window with the keys of the current user and card rows."""
     rows = date_window_filter(bronze, "date_time", start, end)
     if "date_partition" in bronze.columns:
-        rows = rows.where(F.col("date_partition") <= f"{as_date(end):%Y-%m}")
+        if end is not None:
+            rows = rows.where(F.col("date_partition") <= f"{as_date(end):%Y-%m}")
         if start is not None:
             rows = rows.where(F.col("date_partition") >= f"{as_date(start):%Y-%m}")
     keyed = rows.join(current_keys(users, "client_id", "client_key"), "client_id", "left").join(

@@ -79,8 +79,16 @@ def _stack(parts: Mapping[str, DataFrame]) -> DataFrame:
 
 def load_source(spark: SparkSession, users: str, cards: str, transactions: str) -> Source:
     """Read the three CSV exports. Nothing is checked until a report of the result is asked for."""
-    return Source(
-        read_csv(spark, users, SOURCE_USERS),
-        read_csv(spark, cards, SOURCE_CARDS),
-        type_transactions(read_csv(spark, transactions, STAGED_TRANSACTIONS)),
-    )
+    return Source(load_users(spark, users), load_cards(spark, cards), load_transactions(spark, transactions))
+
+
+def load_users(spark: SparkSession, path: str) -> DataFrame:
+    return read_csv(spark, path, SOURCE_USERS)
+
+
+def load_cards(spark: SparkSession, path: str) -> DataFrame:
+    return read_csv(spark, path, SOURCE_CARDS)
+
+
+def load_transactions(spark: SparkSession, path: str) -> DataFrame:
+    return type_transactions(read_csv(spark, path, STAGED_TRANSACTIONS))

@@ -132,7 +132,9 @@ TABLES: dict[str, tuple[dict[str, str], list[str]]] = {
     "bronze.transactions": (BRONZE_TRANSACTIONS, ["date_partition"]),
     "bronze.mcc_codes": (BRONZE_MCC_CODES, []),
     "bronze.train_fraud_labels": (BRONZE_FRAUD_LABELS, []),
-    "bronze.cdc": (BRONZE_CDC, ["ingestion_date"]),
+    "bronze.cdc_users": (BRONZE_CDC, ["ingestion_date"]),
+    "bronze.cdc_cards": (BRONZE_CDC, ["ingestion_date"]),
+    "bronze.cdc_transactions": (BRONZE_CDC, ["ingestion_date"]),
     "silver.users": (SILVER_USERS, []),
     "silver.cards": (SILVER_CARDS, []),
     "silver.transactions": (SILVER_TRANSACTIONS, ["year", "month"]),

@@ -17,22 +17,27 @@ SETTINGS = {
 }
 
 
-SHUFFLE_BYTES_PER_TASK = 128 * 1024**2
+SHUFFLE_BYTES_PER_TASK = 1024**3
+MOST_PARTITIONS = 50_000
 
 
-def initial_partitions(input_bytes: int, least: int = 200) -> int:
-    """Shuffle partitions to start from; adaptive execution merges those that turn out small."""
-    return max(least, -(-input_bytes // SHUFFLE_BYTES_PER_TASK))
+def initial_partitions(shuffled_bytes: int, least: int = 200) -> int:
+    """Shuffle partitions to start from; adaptive execution merges those that turn out small.
+
+    The size is that of the columns which reach the shuffle. The driver keeps a status for each pair of a map and a
+    reduce task, so there are no more than ``MOST_PARTITIONS``; build longer ranges window by window.
+    """
+    return min(MOST_PARTITIONS, max(least, -(-shuffled_bytes // SHUFFLE_BYTES_PER_TASK)))
 
 
-def configured(builder: SparkSession.Builder, input_bytes: int | None = None) -> SparkSession.Builder:
-    """Apply the settings; with the size of the largest input, shuffles are cut finely enough for it.
+def configured(builder: SparkSession.Builder, shuffled_bytes: int | None = None) -> SparkSession.Builder:
+    """Apply the settings; with the size of the largest shuffle, shuffles are cut finely enough for it.
 
     The default of 200 partitions would mean hundreds of gigabytes per task when the whole fact is joined.
     """
     for name, value in SETTINGS.items():
         builder = builder.config(name, value)
-    if input_bytes is not None:
+    if shuffled_bytes is not None:
         name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-        builder = builder.config(name, str(initial_partitions(input_bytes)))
+        builder = builder.config(name, str(initial_partitions(shuffled_bytes)))
     return builder

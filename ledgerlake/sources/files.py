@@ -14,19 +14,26 @@ CSV_READ = CSV_LAYOUT | {"nullValue": "\u0000", "emptyValue": ""}
 CSV_WRITE = CSV_LAYOUT | {"nullValue": "", "emptyValue": '""'}
 
 
-def read_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    return spark.read.options(**CSV_READ).schema(ddl(columns)).csv(path)
+def read_csv(spark: SparkSession, path: str, columns: dict[str, str], multi_line: bool = False) -> DataFrame:
+    """Rows of CSV files. An unreadable value or a row of the wrong width stops the job.
+
+    ``multi_line`` allows line breaks in quoted fields; a file is then read by one task.
+    """
+    options = CSV_READ | {"mode": "FAILFAST", "multiLine": multi_line}
+    return spark.read.options(**options).schema(ddl(columns)).csv(path)
 
 
 def read_json_lines(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    return spark.read.schema(ddl(columns)).json(path)
+    """One object per line; a broken line stops the job."""
+    return spark.read.option("mode", "FAILFAST").schema(ddl(columns)).json(path)
 
 
 def explode_object(document: Column, root: str | None = None) -> Column:
     """Generator of (key, value) for a JSON object, or for the object under ``root``; a missing root gives no rows."""
+    strict = {"mode": "FAILFAST"}
     if root is None:
-        return F.explode(F.from_json(document, "map<string,string>"))
-    return F.explode(F.from_json(document, f"`{root}` map<string,string>").getField(root))
+        return F.explode(F.from_json(document, "map<string,string>", strict))
+    return F.explode(F.from_json(document, f"`{root}` map<string,string>", strict).getField(root))
 
 
 def read_json_object(spark: SparkSession, path: str, root: str | None = None) -> DataFrame:
@@ -37,6 +44,10 @@ def read_json_object(spark: SparkSession, path: str, root: str | None = None) ->
     return (
         spark.read.text(path, wholetext=True)
         .select("value", F.col("_metadata.file_name").alias("file_name"))
+        .where(F.col("value").rlike(r"\S"))
+        .withColumn("value", F.when(F.col("value").rlike(r"(?s)^\s*\{.*\}\s*$"), F.col("value")).otherwise(
+            F.raise_error(F.concat(F.lit("not a whole JSON object: "), F.col("file_name")))
+        ))
         .select(explode_object(F.col("value"), root), "file_name")
     )
 
@@ -56,7 +67,14 @@ def read_flat_label_object(spark: SparkSession, path: str, root: str = "target")
     skipped; such files need ``read_json_object``.
     """
     entry = (_HEAD + _ENTRY + _TAIL).replace("ROOT", root)
-    pieces = spark.read.text(path, lineSep='",').select("value", F.col("_metadata.file_name").alias("file_name"))
+    pieces = spark.read.text(path, lineSep='",').select("value", "_metadata.file_name", "_metadata.file_path")
+    # A file that was cut off has no closing braces, two that ran together have them twice.
+    opens = F.col("value").rlike(r'^\s*\{')
+    closes = F.col("value").rlike(r"\}\s*$")
+    ends = pieces.groupBy("file_path").agg(F.count_if(opens).alias("heads"), F.count_if(closes).alias("tails"))
+    broken = F.raise_error(F.concat(F.lit("not one whole object: "), F.col("file_path")))
+    whole = ends.select("file_path", F.when((F.col("heads") == 1) & (F.col("tails") == 1), True).otherwise(broken).alias("whole"))
+    pieces = pieces.join(whole, "file_path").where("whole").select("value", "file_name")
     filled = pieces.where(~F.col("value").rlike(_EMPTY.replace("ROOT", root)))
     complaint = F.raise_error(F.concat(F.lit("not a plain label entry: "), F.substring("value", 1, 200)))
     return filled.select(
@@ -64,7 +82,3 @@ def read_flat_label_object(spark: SparkSession, path: str, root: str = "target")
         F.regexp_extract("value", entry, 2).alias("value"),
         "file_name",
     )
-
-
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import posixpath
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..functions.scalars import as_text, json_long, json_text
 from ..schemas import BRONZE_CDC, conform
@@ -37,6 +39,15 @@ def envelope(records: DataFrame, ingested_at: Column | None = None) -> DataFrame
     )
 
 
+def _place(path: str) -> str:
+    """The path in one spelling: absolute, and local ones without their scheme."""
+    scheme, mark, rest = path.partition("://")
+    if mark and scheme != "file":
+        return f"{scheme}://{posixpath.normpath(rest)}"
+    rest = rest if mark else path.removeprefix("file:")
+    return posixpath.abspath(rest) if not rest.startswith("/") else "/" + posixpath.normpath(rest).lstrip("/")
+
+
 def land_cdc(
     records: DataFrame,
     path: str,
@@ -50,7 +61,8 @@ def land_cdc(
     The sink's own log makes a repeated micro-batch after a failure add no rows. The checkpoint must lie outside
     ``path``. With ``table`` the files are registered in the catalog. ``once`` drains what is there and stops.
     """
-    if checkpoint.rstrip("/").startswith(path.rstrip("/") + "/"):
+    inner, outer = _place(checkpoint), _place(path)
+    if inner == outer or inner.startswith(outer + "/"):
         raise ValueError("keep the checkpoint outside the table directory")
     writer = (
         envelope(records)
@@ -64,6 +76,24 @@ def land_cdc(
     return writer.toTable(table) if table else writer.start()
 
 
-def landed_rows(query: StreamingQuery) -> int:
-    """Input rows over the recent micro-batches, the size report of a run."""
-    return sum(progress.numInputRows for progress in query.recentProgress)
+class LandedRows(StreamingQueryListener):
+    """Counts the input rows of every micro-batch, however long a run lasts. Register it before the stream starts:
+    ``spark.streams.addListener(LandedRows())``."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        self.rows[str(event.runId)] = 0
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        self.rows[str(event.progress.runId)] = self.rows.get(str(event.progress.runId), 0) + event.progress.numInputRows
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+    def of(self, query: StreamingQuery) -> int:
+        return self.rows.get(str(query.runId), 0)

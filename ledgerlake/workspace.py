@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,13 +10,12 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder below the one the cluster shares between executors.
+    """A fresh folder below the one that all executors reach: the checkpoint folder, or else the warehouse.
 
-    Only a local session without the setting gets a temporary folder of this machine.
+    It is removed when the session's JVM ends, as intermediate tables are of no use after that.
     """
-    base = spark.conf.get(SETTING, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"{SETTING} must name a folder all executors reach")
-        base = tempfile.mkdtemp(prefix="run-")
-    return f"{base.rstrip('/')}/ledgerlake-{uuid.uuid4().hex}"
+    base = spark.conf.get(SETTING, None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{base.rstrip('/')}/ledgerlake-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder

@@ -129,4 +129,5 @@ def test_shuffle_size_follows_the_input():
     from ledgerlake.settings import initial_partitions
 
     assert initial_partitions(10**9) == 200
-    assert initial_partitions(100 * 10**12) == 745_059
+    assert initial_partitions(10**12) == 932
+    assert initial_partitions(100 * 10**12) == 50_000

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from ledgerlake.schemas import BRONZE_CDC
-from ledgerlake.streaming.cdc import envelope, land_cdc, landed_rows
+from ledgerlake.streaming.cdc import LandedRows, envelope, land_cdc
 
 SCHEMA = "key binary, value binary, offset bigint, timestamp timestamp"
 
@@ -41,11 +41,14 @@ def landed(spark, path):
 def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_path):
     source, table, checkpoint = tmp_path / "topic", tmp_path / "table", tmp_path / "checkpoint"
     drop_file(spark, records(0, 50), source)
+    watch = LandedRows()
+    spark.streams.addListener(watch)
 
     def land():
         query = land_cdc(stream(spark, source), str(table), str(checkpoint), once=True)
         query.awaitTermination()
-        return landed_rows(query)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        return watch.of(query)
 
     def batch():
         return sorted(map(str, envelope(spark.read.parquet(str(source))).select(*BUSINESS).collect()))
@@ -58,6 +61,24 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_path):
     assert land() == 7
     assert landed(spark, table) == batch()
     assert len(list(table.glob("ingestion_date=*"))) >= 1
+    spark.streams.removeListener(watch)
+
+
+def test_rows_are_counted_over_more_batches_than_spark_reports(spark, tmp_path):
+    for k in range(4):
+        drop_file(spark, records(10 * k, 1), tmp_path / "topic")
+    watch, kept = LandedRows(), spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.streams.addListener(watch)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    try:
+        rows = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "topic"))
+        query = land_cdc(rows, str(tmp_path / "table"), str(tmp_path / "checkpoint"), once=True)
+        query.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        assert watch.of(query) == len(landed(spark, tmp_path / "table")) == 12
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+        spark.streams.removeListener(watch)
 
 
 def test_envelope_values(spark):
@@ -100,3 +121,10 @@ def test_checkpoint_inside_the_table_is_refused(spark, tmp_path):
     (tmp_path / "topic").mkdir()
     with pytest.raises(ValueError, match="outside"):
         land_cdc(stream(spark, tmp_path / "topic"), str(tmp_path / "t"), str(tmp_path / "t" / "_checkpoint"))
+
+
+@pytest.mark.parametrize("spelling", ["{t}", "file://{t}", "file:{t}/", "{t}/x/.."])
+def test_checkpoint_in_the_same_place_is_refused(spark, tmp_path, spelling):
+    (tmp_path / "topic").mkdir()
+    with pytest.raises(ValueError, match="outside"):
+        land_cdc(stream(spark, tmp_path / "topic"), str(tmp_path / "t"), spelling.format(t=tmp_path / "t"))

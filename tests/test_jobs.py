@@ -89,3 +89,15 @@ def test_end_to_end_and_again(house, lake):
 def test_tables_keep_their_declared_schema(house):
     for table, (columns, _) in TABLES.items():
         assert dict(house.read(table).dtypes) == columns
+
+
+def test_each_topic_lands_in_its_own_table(spark, house, tmp_path):
+    schema = "key binary, value binary, offset bigint, timestamp timestamp"
+    for k, table in enumerate(("users", "cards", "transactions")):
+        rows = [(b"k", b'{"op": "c", "ts_ms": 5}', i, dt.datetime(2024, 1, 1)) for i in range(k + 1)]
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / table))
+        for _ in range(2):  # a restart adds nothing
+            house.land(table, spark.readStream.schema(schema).parquet(str(tmp_path / table)), str(tmp_path / f"at_{table}"), once=True)
+    assert [house.read(f"bronze.cdc_{t}").count() for t in ("users", "cards", "transactions")] == [1, 2, 3]
+    with pytest.raises(ValueError, match="no change records"):
+        house.land("other", None, "")

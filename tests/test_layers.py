@@ -10,7 +10,7 @@ import pytest
 
 from ledgerlake import schemas
 from ledgerlake.checks.inputs import Lake
-from ledgerlake.checks.queries import END, QUERIES, START, Layers
+from ledgerlake.checks.queries import QUERIES, Layers
 from ledgerlake.plans import market, merchant, silver, user
 from ledgerlake.plans.detail import transaction_detail
 from ledgerlake.sinks import tables
@@ -55,7 +55,7 @@ def test_joins_keep_every_transaction(lake):
 
 
 def test_daily_totals_add_up_to_the_fact(lake):
-    days = market.daily_totals(lake.detail, START, END)
+    days = market.daily_totals(lake.detail)
     want = lake.detail.agg(F.sum("txn_amount"), F.count("transaction_id")).first()
     assert tuple(days.agg(F.sum("txn_total_amt"), F.sum("txn_total_cnt")).first()) == tuple(want)
 
@@ -173,7 +173,7 @@ SKEW = {
 
 def test_hot_client_is_split_in_the_key_join(spark, lake):
     with settings(spark, **SKEW):
-        df = silver.silver_transactions(hot_transactions(spark), lake.silver_users, lake.silver_cards, None, END)
+        df = silver.silver_transactions(hot_transactions(spark), lake.silver_users, lake.silver_cards)
         plan = final_plan(df)
         assert "skew=true" in plan
         assert df.count() == 60_000
@@ -199,11 +199,11 @@ def test_summaries_combine_before_the_shuffle(spark):
     """Below every exchange stands a partial aggregate, or the union of two combined frames."""
     fact = facts.frame(spark, facts.random_fact(1, n=50))
     for df in (
-        market.daily_totals(fact, START, END),
-        market.daily_actives(fact, START, END),
-        market.new_clients(fact, START, END),
-        merchant.merchant_months(merchant.client_months(fact, START, END)),
-        merchant.merchant_reach(fact, START, END),
+        market.daily_totals(fact),
+        market.daily_actives(fact),
+        market.new_clients(fact),
+        merchant.merchant_months(merchant.client_months(fact)),
+        merchant.merchant_reach(fact),
         user.user_totals(fact),
         user.user_reach(fact),
     ):

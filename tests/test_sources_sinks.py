@@ -257,3 +257,30 @@ def test_shared_folder_comes_from_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark), shared_folder(spark)
     assert first.startswith(base) and first != second
+
+
+def _stops(df):
+    with pytest.raises(Exception):  # noqa: B017, PT011
+        df.collect()
+
+
+def test_broken_files_stop_the_job(spark, tmp_path):
+    def file(name, text):
+        (tmp_path / name).write_text(text)
+        return str(tmp_path / name)
+
+    for name, text in (("cut.json", '{"5411": "Groc'), ("array.json", '[{"1": "a"}]'), ("words.json", "no json")):
+        _stops(files.read_json_object(spark, file(name, text)))
+    for name, text in (("cut_labels.json", '{"target": {"1": "Yes", "2": "No", "3": "N'), ("twice.json", '{"target": {"1": "Yes"}}{"target": {"2": "No"}}')):
+        _stops(files.read_flat_label_object(spark, file(name, text)))
+    columns = {"a": "int", "b": "string"}
+    _stops(files.read_json_lines(spark, file("cut.jsonl", '{"a": 1, "b": "x"}\n{"a": 2, "b'), columns))
+    _stops(files.read_csv(spark, file("word.csv", "a,b\n1,x\none,y\n"), columns))
+    _stops(files.read_csv(spark, file("short.csv", "a,b\n1,x\n2\n"), columns))
+    broken_line = file("line.csv", 'a,b\n1,"x\ny"\n')
+    assert [tuple(r) for r in files.read_csv(spark, broken_line, columns, multi_line=True).collect()] == [(1, "x\ny")]
+
+
+def test_empty_files_have_no_rows(spark, tmp_path):
+    (tmp_path / "empty.json").write_text("\n")
+    assert files.read_json_object(spark, str(tmp_path / "empty.json")).count() == 0

@@ -44,7 +44,7 @@ def test_matches_row_by_row_rule(spark, seed, monkeypatch):
     monkeypatch.setattr(versions, "COPIES_PER_TASK", 3)
     rows = rows_for(seed)
     df = spark.createDataFrame(rows, SCHEMA)
-    prints = {r[0]: r[1] for r in df.select("name", F.xxhash64("name")).distinct().collect()}
+    prints = {r[0]: r[1] for r in df.select("name", F.xxhash64("name", F.isnull("name"))).distinct().collect()}
     got = close_versions(df, "id", "load_at")
     seen = Counter(tuple(r) for r in got.select("id", "name", "load_at", "valid_to", "is_current").collect())
     assert seen == expected(rows, prints)
@@ -74,3 +74,12 @@ def test_hot_key_is_reduced_before_the_window(spark):
     plan = close_versions(df, "id", "load_at")._jdf.queryExecution().optimizedPlan().toString()
     window = plan.split("Window", 1)[1].split("\n", 2)[1]
     assert "Aggregate" in window
+
+
+def test_where_a_null_stands_tells_rows_apart(spark):
+    """Two rows of one load that differ only in which column is NULL: one of them is closed."""
+    rows = [(1, None, "5", "2020-01-01"), (1, "5", None, "2020-01-01"), (2, None, None, "2020-01-01")]
+    df = spark.createDataFrame(rows, "id int, a string, b string, load_at string").withColumn("load_at", F.to_timestamp("load_at"))
+    got = close_versions(df, "id", "load_at")
+    assert sorted((r.id, r.n) for r in got.groupBy("id").agg(F.count_if("is_current").alias("n")).collect()) == [(1, 1), (2, 1)]
+    assert got.select("id", "version_key").distinct().count() == 3
