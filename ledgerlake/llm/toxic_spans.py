@@ -55,7 +55,7 @@ class SpanField:
 
     weights: dict[bytes, float]
     moves: np.ndarray  # 2 x 2
-    calibration: np.ndarray  # constant, of the largest marginal, of log(1 + evidence)
+    calibration: np.ndarray  # weights of `calibration_inputs`
 
     def emissions(self, tokens: Tokens) -> np.ndarray:
         get = self.weights.get
@@ -81,10 +81,15 @@ class SpanField:
         return chain_marginals(self.emissions(tokens), tokens.offs, self.moves)
 
     def score(self, largest: np.ndarray, total: np.ndarray) -> np.ndarray:
-        z = self.calibration[0] + self.calibration[1] * largest + self.calibration[2] * np.log1p(total)
+        z = calibration_inputs(largest, total) @ self.calibration
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def calibration_inputs(largest: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """A constant, how sure the surest word is, and the evidence of all words."""
+    return np.stack([np.ones(len(largest)), -np.log1p(-np.minimum(largest, 1 - 1e-6)), np.log1p(total)], axis=1)
+
+
 def _scan(matrices: np.ndarray) -> np.ndarray:
     """Running products M1, M1 M2, ... of 2x2 matrices, each scaled to sum to one."""
     n = len(matrices)
@@ -256,7 +261,7 @@ def fit_toxic_spans(docs: DataFrame, labels: DataFrame, label: str = "toxic", ma
             yield pa.RecordBatch.from_arrays([piece["doc_id"], piece["y"], pa.array(largest), pa.array(total)], names=["doc_id", "y", "largest", "total"])
 
     known = sample.mapInArrow(summed, "doc_id long, y int, largest double, total double").toArrow()
-    x = np.stack([np.ones(len(known)), known["largest"].to_numpy(), np.log1p(known["total"].to_numpy())], axis=1)
+    x = calibration_inputs(known["largest"].to_numpy(), known["total"].to_numpy())
     y, beta = known["y"].to_numpy().astype(float), np.zeros(3)
     ridge = np.diag([1e-3, 0.1, 0.1])
     for _ in range(25):  # Newton's method with a small ridge

@@ -145,7 +145,7 @@ def test_long_chain_equals_plain_recursion():
 
 
 def test_spans_name_the_words(spark):
-    field = toxic_spans.SpanField({b"=idiot": 9.0, b"bias": -4.0}, np.zeros((2, 2)), np.array([-3.0, 6.0, 0.0]))
+    field = toxic_spans.SpanField({b"=idiot": 9.0, b"bias": -4.0}, np.zeros((2, 2)), np.array([-3.0, 2.0, 0.0]))
     docs = spark.createDataFrame([(1, "you Idiot! IDIOT, yes idiot"), (2, "fine words")], "doc_id long, text string")
     got = {r.doc_id: ([(s.first, s.past) for s in r.spans], r.score > 0.5) for r in toxic_spans.tag_toxic(docs, field).collect()}
     assert got == {1: ([(1, 3), (4, 5)], True), 2: ([], False)}
