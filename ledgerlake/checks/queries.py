@@ -14,7 +14,7 @@ from ..functions import scalars as s
 from ..functions.calendar import fixed_windows, month_windows, widen_to_months
 from ..operators import quality
 from ..operators.top import top_per_group
-from ..plans import bronze, detail, latest, market, merchant, silver, source, user
+from ..plans import bronze, detail, latest, market, merchant, seen, silver, source, user
 from ..schemas import SILVER_TRANSACTIONS, ddl
 from ..sinks import tables
 from ..sources.files import CSV_WRITE
@@ -446,6 +446,19 @@ def merchant_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merchant.merchant_monthly_performance(layers(spark, sf_dir).detail, START, END).drop("updated_at")
 
 
+def market_kept_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same window with first dates from the table kept by month; the fact is read from 30 days before only."""
+    fact = layers(spark, sf_dir).detail
+    known = seen.first_dates(seen.client_months(fact), END)
+    return market.market_daily_summary(fact, START, END, first_dates=known).drop("updated_at")
+
+
+def merchant_kept_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact = layers(spark, sf_dir).detail
+    older = seen.earlier_pairs(seen.merchant_client_months(fact), START)
+    return merchant.merchant_monthly_performance(fact, START, END, earlier=older).drop("updated_at")
+
+
 # ------------------------------------------------------------------ calendar, quality, sets
 
 
@@ -555,5 +568,6 @@ QUERIES: dict[str, Query] = {
         calendar_windows, calendar_months, window_audit, row_counts, pk_violations, pk_lineitem, fk_violations,
         rule_violations, distinct_pairs, partition_overwrite, append_then_read, bucketed_join,
         detail_window, market_window, new_clients_window, merchant_window,
+        market_kept_history, merchant_kept_history,
     )
 }

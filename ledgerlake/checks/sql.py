@@ -444,11 +444,15 @@ def statements() -> dict[str, str]:
             {_int('year(m.period_month)')} AS year, {_int('month(m.period_month)')} AS month
             FROM monthly m {PREVIOUS_JOIN} LEFT JOIN client_split s
             ON m.merchant_id = s.merchant_id AND m.period_month = s.period_month"""
+    market_window = _with(f"{market} WHERE d.period_date >= DATE '{FIRST_DAY}'", "daily", "peak", "top_mcc", "newcomers", last_day=LAST_DAY)
+    merchant_window = _with(f"{merchants} WHERE m.period_month >= DATE '{FIRST_DAY[:8]}01'", "monthly", "client_split", last_day=LAST_DAY)
     return {
+        "q_market_kept_history": market_window,
+        "q_merchant_kept_history": merchant_window,
         "q_detail_window": _with(f"SELECT {DETAIL_COLUMNS} FROM detail WHERE txn_date >= DATE '{FIRST_DAY}'", "detail", last_day=LAST_DAY),
-        "q_market_window": _with(f"{market} WHERE d.period_date >= DATE '{FIRST_DAY}'", "daily", "peak", "top_mcc", "newcomers", last_day=LAST_DAY),
+        "q_market_window": market_window,
         "q_new_clients_window": _with(f"SELECT * FROM newcomers WHERE period_date >= DATE '{FIRST_DAY}'", "newcomers", last_day=LAST_DAY),
-        "q_merchant_window": _with(f"{merchants} WHERE m.period_month >= DATE '{FIRST_DAY[:8]}01'", "monthly", "client_split", last_day=LAST_DAY),
+        "q_merchant_window": merchant_window,
         "q_money_parse": _with(
             f"""SELECT id, load_at, {_clean('per_capita_income', 15, 2)} AS per_capita_income,
                 {_clean('yearly_income', 15, 2)} AS yearly_income, {_clean('total_debt', 15, 2)} AS total_debt

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .functions.calendar import widen_to_months
 from .functions.scalars import DateLike
-from .plans import bronze, latest
+from .plans import bronze, latest, seen
 from .plans.detail import transaction_detail
 from .plans.market import market_daily_summary
 from .plans.merchant import merchant_monthly_performance
@@ -53,12 +53,12 @@ class Lakehouse:
     def _rewrite(self, df: DataFrame, table: str) -> int:
         watched, watch = tables.counted(df)
         tables.overwrite_rows(watched, self.name(table))
-        return watch.get["row_count"]
+        return tables.row_count(watch)
 
     def _replace(self, df: DataFrame, table: str) -> int:
         watched, watch = tables.counted(df)
         tables.replace_partitions(watched, self.name(table), TABLES[table][1])
-        return watch.get["row_count"]
+        return tables.row_count(watch)
 
     # -------------------------------------------------------------- bronze
 
@@ -67,7 +67,7 @@ class Lakehouse:
         watched, watch = tables.counted(bronze.ingest_table(source, table))
         partitions = TABLES[f"bronze.{table}"][1]
         tables.append(tables.balanced(watched, partitions), self.name(f"bronze.{table}"), partitions)
-        return watch.get["row_count"]
+        return tables.row_count(watch)
 
     def ingest_mcc(self, path: str) -> int:
         return self._rewrite(bronze.ingest_mcc(self.spark, path), "bronze.mcc_codes")
@@ -117,14 +117,23 @@ class Lakehouse:
             start,
             end,
         )
-        return self._replace(rows, "gold.transaction_detail")
+        written = self._replace(rows, "gold.transaction_detail")
+        # What later comparisons with history read instead of the fact, for the months just changed.
+        fact, months = self.read("gold.transaction_detail"), widen_to_months(start, end)
+        self._replace(seen.client_months(fact, *months), "gold.client_months")
+        self._replace(seen.merchant_client_months(fact, *months), "gold.merchant_client_months")
+        return written
 
     def build_market(self, start: DateLike, end: DateLike) -> int:
-        summary = market_daily_summary(self.read("gold.transaction_detail"), *widen_to_months(start, end))
+        first, last = widen_to_months(start, end)
+        known = seen.first_dates(self.read("gold.client_months"), last)
+        summary = market_daily_summary(self.read("gold.transaction_detail"), first, last, first_dates=known)
         return self._replace(summary, "gold.market_daily_summary")
 
     def build_merchants(self, start: DateLike, end: DateLike) -> int:
-        summary = merchant_monthly_performance(self.read("gold.transaction_detail"), *widen_to_months(start, end))
+        first, last = widen_to_months(start, end)
+        older = seen.earlier_pairs(self.read("gold.merchant_client_months"), first)
+        summary = merchant_monthly_performance(self.read("gold.transaction_detail"), first, last, earlier=older)
         return self._replace(summary, "gold.merchant_monthly_performance")
 
     def build_user_detail(self, as_of: DateLike) -> int:

@@ -28,7 +28,7 @@ def _month() -> Column:
     return s.month_start("txn_date_time")
 
 
-def _month_before(start: DateLike) -> dt.date:
+def month_before(start: DateLike) -> dt.date:
     first = as_date(start).replace(day=1)
     return first.replace(year=first.year - 1, month=12) if first.month == 1 else first.replace(month=first.month - 1)
 
@@ -39,7 +39,7 @@ def pairs_before(detail: DataFrame, start: DateLike) -> DataFrame:
     A table kept from run to run can take this function's place; see ``earlier`` below.
     """
     return (
-        in_window(detail, None, _month_before(start) - dt.timedelta(days=1))
+        in_window(detail, None, month_before(start) - dt.timedelta(days=1))
         .groupBy(*PAIR)
         .agg(F.max(_month()).alias("period_month"))
     )
@@ -54,7 +54,7 @@ def client_months(
     given as ``earlier``. Everything is combined before each shuffle; a hot merchant is spread over its clients.
     """
     amount = F.col("txn_amount")
-    recent_from = None if start is None else _month_before(start)
+    recent_from = None if start is None else month_before(start)
     recent = (
         in_window(detail, recent_from, end)
         .groupBy(*PAIR, _month().alias("period_month"))

@@ -10,34 +10,74 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _table(text: str) -> dict[str, str]:
-    return {name: kind for name, kind in (entry.split() for entry in text.split(";") if entry.strip())}
-
+# Column names, types and order of all tables are their contract.
 
 # ------------------------------------------------------------------ source (typed, before ingestion)
 
-SOURCE_USERS = _table("""
-    id int; current_age int; retirement_age int; birth_year int; birth_month int; gender string; address string;
-    latitude decimal(9,6); longitude decimal(9,6); per_capita_income string; yearly_income string;
-    total_debt string; credit_score int; num_credit_cards int
-""")
+SOURCE_USERS = {
+    "id": "int",
+    "current_age": "int",
+    "retirement_age": "int",
+    "birth_year": "int",
+    "birth_month": "int",
+    "gender": "string",
+    "address": "string",
+    "latitude": "decimal(9,6)",
+    "longitude": "decimal(9,6)",
+    "per_capita_income": "string",
+    "yearly_income": "string",
+    "total_debt": "string",
+    "credit_score": "int",
+    "num_credit_cards": "int",
+}
 
-SOURCE_CARDS = _table("""
-    id int; client_id int; card_brand string; card_type string; card_number string; expires string; CVV string;
-    has_chip string; num_cards_issued int; credit_limit string; acct_open_date string;
-    year_pin_last_changed int; card_on_dark_web string
-""")
+SOURCE_CARDS = {
+    "id": "int",
+    "client_id": "int",
+    "card_brand": "string",
+    "card_type": "string",
+    "card_number": "string",
+    "expires": "string",
+    "CVV": "string",
+    "has_chip": "string",
+    "num_cards_issued": "int",
+    "credit_limit": "string",
+    "acct_open_date": "string",
+    "year_pin_last_changed": "int",
+    "card_on_dark_web": "string",
+}
 
 # Column order of the transactions CSV file; every column is staged as text first.
-STAGED_TRANSACTIONS = _table("""
-    id string; date_time string; client_id string; card_id string; amount string; use_chip string;
-    merchant_id string; merchant_city string; merchant_state string; zip string; mcc string; errors string
-""")
+STAGED_TRANSACTIONS = {
+    "id": "string",
+    "date_time": "string",
+    "client_id": "string",
+    "card_id": "string",
+    "amount": "string",
+    "use_chip": "string",
+    "merchant_id": "string",
+    "merchant_city": "string",
+    "merchant_state": "string",
+    "zip": "string",
+    "mcc": "string",
+    "errors": "string",
+}
 
-SOURCE_TRANSACTIONS = _table("""
-    id int; date_time timestamp; date date; client_id int; card_id int; amount string; use_chip string;
-    merchant_id int; merchant_city string; merchant_state string; zip string; mcc int; errors string
-""")
+SOURCE_TRANSACTIONS = {
+    "id": "int",
+    "date_time": "timestamp",
+    "date": "date",
+    "client_id": "int",
+    "card_id": "int",
+    "amount": "string",
+    "use_chip": "string",
+    "merchant_id": "int",
+    "merchant_city": "string",
+    "merchant_state": "string",
+    "zip": "string",
+    "mcc": "int",
+    "errors": "string",
+}
 
 # ------------------------------------------------------------------ bronze
 
@@ -47,83 +87,240 @@ BRONZE_TRANSACTIONS = {name: kind for name, kind in SOURCE_TRANSACTIONS.items()
     "load_at": "timestamp",
     "date_partition": "string",
 }
-BRONZE_MCC_CODES = _table("mcc_code int; description string; file_name string; load_at timestamp")
-BRONZE_FRAUD_LABELS = _table("transaction_id int; is_fraud string; file_name string; load_at timestamp")
-BRONZE_CDC = _table("""
-    kafka_key string; kafka_offset bigint; kafka_timestamp timestamp; cdc_payload string; operation string;
-    cdc_timestamp bigint; ingestion_time timestamp; ingestion_date string
-""")
+BRONZE_MCC_CODES = {"mcc_code": "int", "description": "string", "file_name": "string", "load_at": "timestamp"}
+BRONZE_FRAUD_LABELS = {"transaction_id": "int", "is_fraud": "string", "file_name": "string", "load_at": "timestamp"}
+BRONZE_CDC = {
+    "kafka_key": "string",
+    "kafka_offset": "bigint",
+    "kafka_timestamp": "timestamp",
+    "cdc_payload": "string",
+    "operation": "string",
+    "cdc_timestamp": "bigint",
+    "ingestion_time": "timestamp",
+    "ingestion_date": "string",
+}
 
 # ------------------------------------------------------------------ silver
 
-SILVER_USERS = _table("""
-    client_key bigint; client_id int; current_age int; retirement_age int; birth_year int; birth_month int;
-    age_group string; gender string; address string; latitude decimal(9,6); longitude decimal(9,6);
-    per_capita_income decimal(15,2); yearly_income decimal(15,2); income_group string;
-    total_debt decimal(15,2); credit_score int; num_credit_cards int;
-    valid_from timestamp; valid_to timestamp; is_current boolean
-""")
-
-SILVER_CARDS = _table("""
-    card_key bigint; card_id int; client_id int; card_brand string; card_type string; expires_date string;
-    expires_year int; expires_month int; is_expires boolean; has_chip boolean; num_cards_issued int;
-    credit_limit decimal(12,2); acct_open_date string; acct_open_year int; acct_open_month int;
-    year_pin_last_changed int; card_on_dark_web string;
-    valid_from timestamp; valid_to timestamp; is_current boolean
-""")
-
-SILVER_TRANSACTIONS = _table("""
-    transaction_id int; client_id int; client_key bigint; card_id int; card_key bigint; date_time timestamp;
-    day int; hour int; amount decimal(18,4); use_chip boolean; merchant_id int; merchant_city string;
-    merchant_state string; zip string; mcc int; errors string; is_error boolean; updated_at timestamp;
-    year int; month int
-""")
+SILVER_USERS = {
+    "client_key": "bigint",
+    "client_id": "int",
+    "current_age": "int",
+    "retirement_age": "int",
+    "birth_year": "int",
+    "birth_month": "int",
+    "age_group": "string",
+    "gender": "string",
+    "address": "string",
+    "latitude": "decimal(9,6)",
+    "longitude": "decimal(9,6)",
+    "per_capita_income": "decimal(15,2)",
+    "yearly_income": "decimal(15,2)",
+    "income_group": "string",
+    "total_debt": "decimal(15,2)",
+    "credit_score": "int",
+    "num_credit_cards": "int",
+    "valid_from": "timestamp",
+    "valid_to": "timestamp",
+    "is_current": "boolean",
+}
+
+SILVER_CARDS = {
+    "card_key": "bigint",
+    "card_id": "int",
+    "client_id": "int",
+    "card_brand": "string",
+    "card_type": "string",
+    "expires_date": "string",
+    "expires_year": "int",
+    "expires_month": "int",
+    "is_expires": "boolean",
+    "has_chip": "boolean",
+    "num_cards_issued": "int",
+    "credit_limit": "decimal(12,2)",
+    "acct_open_date": "string",
+    "acct_open_year": "int",
+    "acct_open_month": "int",
+    "year_pin_last_changed": "int",
+    "card_on_dark_web": "string",
+    "valid_from": "timestamp",
+    "valid_to": "timestamp",
+    "is_current": "boolean",
+}
+
+SILVER_TRANSACTIONS = {
+    "transaction_id": "int",
+    "client_id": "int",
+    "client_key": "bigint",
+    "card_id": "int",
+    "card_key": "bigint",
+    "date_time": "timestamp",
+    "day": "int",
+    "hour": "int",
+    "amount": "decimal(18,4)",
+    "use_chip": "boolean",
+    "merchant_id": "int",
+    "merchant_city": "string",
+    "merchant_state": "string",
+    "zip": "string",
+    "mcc": "int",
+    "errors": "string",
+    "is_error": "boolean",
+    "updated_at": "timestamp",
+    "year": "int",
+    "month": "int",
+}
 
 # ------------------------------------------------------------------ gold
 
-GOLD_TRANSACTION_DETAIL = _table("""
-    transaction_id bigint; client_key bigint; client_id int; client_age int; client_latitude decimal(9,6);
-    client_longitude decimal(9,6); client_credit_score int; client_num_credit_cards int; card_key bigint;
-    card_id int; card_brand string; card_type string; card_open_year int; card_expires_year int;
-    card_credit_limit decimal(12,2); card_on_dark_web boolean; txn_amount decimal(18,4);
-    txn_spending_ratio decimal(10,4); txn_use_chip boolean; txn_date_time timestamp; txn_hour int;
-    merchant_id int; merchant_city string; merchant_state string; merchant_zip string; mcc int;
-    mcc_description string; is_error boolean; is_fraud boolean; created_at timestamp;
-    txn_year int; txn_month int; txn_day int
-""")
-
-GOLD_MARKET_DAILY = _table("""
-    period_date date; txn_total_amt decimal(20,2); txn_pos_amt decimal(20,2); txn_neg_amt decimal(20,2);
-    txn_avg_amt decimal(12,2); txn_total_cnt int; txn_pos_cnt int; txn_neg_cnt int; txn_fraud_cnt int;
-    txn_error_cnt int; prev_1d_amt decimal(20,2); prev_7d_amt decimal(20,2); prev_30d_amt decimal(20,2);
-    prev_1d_cnt int; prev_7d_cnt int; prev_30d_cnt int; client_unique_cnt int; client_new_cnt int;
-    merchant_active_cnt int; merchant_top_mcc int; merchant_top_mcc_cnt int; peak_hour int; peak_hour_cnt int;
-    updated_at timestamp; year int; month int
-""")
-
-GOLD_MERCHANT_MONTHLY = _table("""
-    merchant_id int; period_month date; active_city_cnt int; active_state_cnt int; active_mcc_cnt int;
-    rev_total decimal(18,2); rev_positive decimal(18,2); rev_negative decimal(18,2);
-    prev_rev_total decimal(18,2); prev_rev_positive decimal(18,2); txn_total_amt decimal(18,2);
-    txn_total_cnt int; txn_positive_cnt int; txn_negative_cnt int; prev_txn_total_cnt int;
-    prev_txn_positive_cnt int; fraud_txn_cnt int; error_txn_cnt int; unique_client_cnt int;
-    new_client_cnt int; returning_client_cnt int; updated_at timestamp; year int; month int
-""")
-
-GOLD_USER_DETAIL = _table("""
-    client_id int; client_key bigint; age_current int; age_retired int; birth_year int; birth_month int;
-    gender string; income_per_capita int; income_yearly int; debt_total int; credit_score int;
-    total_txn_amt decimal(18,2); total_pos_amt decimal(18,2); total_neg_amt decimal(18,2);
-    total_txn int; total_txn_pos int; total_txn_neg int; total_txn_fraud int; total_txn_error int;
-    lifetime_first_date date; lifetime_last_date date; lifetime_days int; merchant_unique_cnt int;
-    merchant_top_id int; merchant_top_txn_cnt int; mcc_unique_cnt int; city_unique_cnt int;
-    state_unique_cnt int; updated_at timestamp
-""")
-
-GOLD_TRANSACTION_SUMMARY = _table("""
-    card_brand string; card_type string; txn_use_chip boolean; txn_date date;
-    total_amount decimal(28,4); total_txn bigint
-""")
+GOLD_TRANSACTION_DETAIL = {
+    "transaction_id": "bigint",
+    "client_key": "bigint",
+    "client_id": "int",
+    "client_age": "int",
+    "client_latitude": "decimal(9,6)",
+    "client_longitude": "decimal(9,6)",
+    "client_credit_score": "int",
+    "client_num_credit_cards": "int",
+    "card_key": "bigint",
+    "card_id": "int",
+    "card_brand": "string",
+    "card_type": "string",
+    "card_open_year": "int",
+    "card_expires_year": "int",
+    "card_credit_limit": "decimal(12,2)",
+    "card_on_dark_web": "boolean",
+    "txn_amount": "decimal(18,4)",
+    "txn_spending_ratio": "decimal(10,4)",
+    "txn_use_chip": "boolean",
+    "txn_date_time": "timestamp",
+    "txn_hour": "int",
+    "merchant_id": "int",
+    "merchant_city": "string",
+    "merchant_state": "string",
+    "merchant_zip": "string",
+    "mcc": "int",
+    "mcc_description": "string",
+    "is_error": "boolean",
+    "is_fraud": "boolean",
+    "created_at": "timestamp",
+    "txn_year": "int",
+    "txn_month": "int",
+    "txn_day": "int",
+}
+
+GOLD_MARKET_DAILY = {
+    "period_date": "date",
+    "txn_total_amt": "decimal(20,2)",
+    "txn_pos_amt": "decimal(20,2)",
+    "txn_neg_amt": "decimal(20,2)",
+    "txn_avg_amt": "decimal(12,2)",
+    "txn_total_cnt": "int",
+    "txn_pos_cnt": "int",
+    "txn_neg_cnt": "int",
+    "txn_fraud_cnt": "int",
+    "txn_error_cnt": "int",
+    "prev_1d_amt": "decimal(20,2)",
+    "prev_7d_amt": "decimal(20,2)",
+    "prev_30d_amt": "decimal(20,2)",
+    "prev_1d_cnt": "int",
+    "prev_7d_cnt": "int",
+    "prev_30d_cnt": "int",
+    "client_unique_cnt": "int",
+    "client_new_cnt": "int",
+    "merchant_active_cnt": "int",
+    "merchant_top_mcc": "int",
+    "merchant_top_mcc_cnt": "int",
+    "peak_hour": "int",
+    "peak_hour_cnt": "int",
+    "updated_at": "timestamp",
+    "year": "int",
+    "month": "int",
+}
+
+GOLD_MERCHANT_MONTHLY = {
+    "merchant_id": "int",
+    "period_month": "date",
+    "active_city_cnt": "int",
+    "active_state_cnt": "int",
+    "active_mcc_cnt": "int",
+    "rev_total": "decimal(18,2)",
+    "rev_positive": "decimal(18,2)",
+    "rev_negative": "decimal(18,2)",
+    "prev_rev_total": "decimal(18,2)",
+    "prev_rev_positive": "decimal(18,2)",
+    "txn_total_amt": "decimal(18,2)",
+    "txn_total_cnt": "int",
+    "txn_positive_cnt": "int",
+    "txn_negative_cnt": "int",
+    "prev_txn_total_cnt": "int",
+    "prev_txn_positive_cnt": "int",
+    "fraud_txn_cnt": "int",
+    "error_txn_cnt": "int",
+    "unique_client_cnt": "int",
+    "new_client_cnt": "int",
+    "returning_client_cnt": "int",
+    "updated_at": "timestamp",
+    "year": "int",
+    "month": "int",
+}
+
+GOLD_USER_DETAIL = {
+    "client_id": "int",
+    "client_key": "bigint",
+    "age_current": "int",
+    "age_retired": "int",
+    "birth_year": "int",
+    "birth_month": "int",
+    "gender": "string",
+    "income_per_capita": "int",
+    "income_yearly": "int",
+    "debt_total": "int",
+    "credit_score": "int",
+    "total_txn_amt": "decimal(18,2)",
+    "total_pos_amt": "decimal(18,2)",
+    "total_neg_amt": "decimal(18,2)",
+    "total_txn": "int",
+    "total_txn_pos": "int",
+    "total_txn_neg": "int",
+    "total_txn_fraud": "int",
+    "total_txn_error": "int",
+    "lifetime_first_date": "date",
+    "lifetime_last_date": "date",
+    "lifetime_days": "int",
+    "merchant_unique_cnt": "int",
+    "merchant_top_id": "int",
+    "merchant_top_txn_cnt": "int",
+    "mcc_unique_cnt": "int",
+    "city_unique_cnt": "int",
+    "state_unique_cnt": "int",
+    "updated_at": "timestamp",
+}
+
+# Who was seen in which month of the fact; what comparisons with all history read instead of it.
+GOLD_CLIENT_MONTHS = {
+    "client_id": "int",
+    "first_date": "date",
+    "year": "int",
+    "month": "int",
+}
+
+GOLD_MERCHANT_CLIENT_MONTHS = {
+    "merchant_id": "int",
+    "client_id": "int",
+    "period_month": "date",
+    "year": "int",
+    "month": "int",
+}
+
+GOLD_TRANSACTION_SUMMARY = {
+    "card_brand": "string",
+    "card_type": "string",
+    "txn_use_chip": "boolean",
+    "txn_date": "date",
+    "total_amount": "decimal(28,4)",
+    "total_txn": "bigint",
+}
 
 # name -> (columns, partition columns)
 TABLES: dict[str, tuple[dict[str, str], list[str]]] = {
@@ -142,6 +339,8 @@ TABLES: dict[str, tuple[dict[str, str], list[str]]] = {
     "gold.market_daily_summary": (GOLD_MARKET_DAILY, ["year", "month"]),
     "gold.merchant_monthly_performance": (GOLD_MERCHANT_MONTHLY, ["year", "month"]),
     "gold.user_detail": (GOLD_USER_DETAIL, []),
+    "gold.client_months": (GOLD_CLIENT_MONTHS, ["year", "month"]),
+    "gold.merchant_client_months": (GOLD_MERCHANT_CLIENT_MONTHS, ["year", "month"]),
 }
 
 

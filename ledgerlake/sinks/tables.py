@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +63,16 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(watch, F.count(F.lit(1)).alias("row_count")), watch
 
 
+def row_count(watch: Observation) -> int:
+    """The number a finished write counted. Where the plan was found empty beforehand nothing was observed: no rows."""
+    try:
+        return watch.get["row_count"]
+    except Py4JJavaError as error:
+        if "AssertionError" not in str(error.java_exception):
+            raise
+        return 0
+
+
 def append(df: DataFrame, name: str, partitions: Sequence[str] = ()) -> None:
     """Append by column name."""
     writer = df.write.mode("append").format("parquet")
