@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.text import Tokens, crc_fold, mix, pieces, raw, runs
 
-ORDER, MASS, BLOCK_BYTES, RANGE_BITS = 2, 20.0, 6 << 20, 8
+ORDER, MASS, BLOCK_BYTES, RANGE_BITS = 2, 20.0, 5 << 19, 8
 END, START = b"\n", np.uint64(0x3C733E)  # the end token is no word, as words have no line ends
 
 
@@ -209,8 +209,10 @@ def score_texts(docs: DataFrame, train_rest: int = 1, order: int = ORDER, mass:
         for table, _ in runs(batches, ["block"], ["block", "range", "data"]):
             data = table["data"].to_pylist()  # the texts first, then the totals by range
             ids, training, tokens, grams = read_block(data[0])
-            base, full = walk(grams, np.concatenate([_numbers(d) for d in data[1:]]).astype(np.float64), n_tokens, n_words, mass)
-            known = np.concatenate([_numbers(d) for d in data[1:]])[grams.at[0]] > 0
+            sums = np.concatenate([_numbers(d) for d in data[1:]]).astype(np.float64)
+            del table, data
+            base, full = walk(grams, sums, n_tokens, n_words, mass)
+            known = sums[grams.at[0]] > 0
             cut = tokens.offs[:-1]  # every text has its end token
             arrays = [
                 pa.array(ids, pa.int64()), pa.array(~training), pa.array(np.diff(tokens.offs)), pa.array(np.add.reduceat(known.astype(np.int64), cut)),
