@@ -107,4 +107,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": toxicity,
     "op10_quality_classifier": quality_classifier,
 }
-SQL: dict[str, str] = {}
+#: Near duplicates by comparing all documents that share a shingle.
+NEAR_DEDUP_SQL = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, CASE
+        WHEN len(ws) >= 5 THEN list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')))
+        WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS shingles
+    FROM words
+),
+sizes AS (SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n FROM sets),
+rows AS (SELECT doc_id, unnest(shingles) AS shingle FROM sets),
+shared AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM rows a JOIN rows b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+    SELECT s.u, s.v FROM shared s JOIN sizes x ON s.u = x.doc_id JOIN sizes y ON s.v = y.doc_id
+    WHERE 100 * s.c >= 85 * (x.n + y.n - s.c)
+),
+sides AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach AS (
+    SELECT doc_id, doc_id AS other FROM sizes
+    UNION
+    SELECT r.doc_id, s.v AS other FROM reach r JOIN sides s ON r.other = s.u
+),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT z.doc_id, z.n AS n_shingles, l.component_id, z.doc_id = l.component_id AS kept
+FROM sizes z JOIN least l ON z.doc_id = l.doc_id
+"""
+SQL: dict[str, str] = {"op2_near_dedup": NEAR_DEDUP_SQL}

@@ -4,6 +4,7 @@ import itertools
 import random
 from collections import Counter, defaultdict
 
+import compare
 import numpy as np
 import pytest
 
@@ -71,6 +72,13 @@ def test_near_duplicates_of_given_texts(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
 
 
+def test_near_duplicates_match_sql(spark):
+    sf = "/root/testdata/sf0.01"
+    con = compare.connect(sf)
+    assert compare.differences(queries.near_dedup(spark, sf), con, queries.SQL["op2_near_dedup"]) == []
+    con.close()
+
+
 def test_large_regions_and_blocks(spark, monkeypatch):
     """With tiny limits every region is large and every class is dealt out in blocks; the result stays the same."""
     texts = near_texts(3, 20, 6)

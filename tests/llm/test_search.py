@@ -72,6 +72,12 @@ def test_leaks_odd_rows(spark):
     assert semantic_leaks.leaks(docs, bench.limit(0)).count() == semantic_leaks.leaks(docs.limit(0), bench).count() == 0
 
 
+def test_short_items_need_all_their_words(spark):
+    docs = spark.createDataFrame([(1, "pale moon over old quiet harbour"), (2, "pale moon over new quiet streets"), (3, "nothing")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "pale moon over old quiet harbour")], "item_id long, text string")
+    assert [r.doc_id for r in semantic_leaks.leaks(docs, bench).collect()] == [1]
+
+
 def test_large_benchmarks_go_in_parts(spark, monkeypatch):
     monkeypatch.setattr(semantic_leaks, "MOST_ITEMS_BYTES", 1)
     test_leaks_odd_rows(spark)
