@@ -416,10 +416,8 @@ def latest_day_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, view = _table_name("detail"), _table_name("vw")
     tables.overwrite(layers(spark, sf_dir).detail, name, shared_folder(spark))
     latest.create_latest_day_view(spark, view, name)
-    summary = spark.table(view)
-    spark.sql(f"DROP VIEW {view}")
-    spark.sql(f"DROP TABLE {name}")
-    return summary
+    # Both stay in the catalog: the view is evaluated by whoever reads the result.
+    return spark.table(view)
 
 
 # ------------------------------------------------------------------ windows that cut
@@ -550,10 +548,8 @@ def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = lake.transactions.select(F.col("id").alias("transaction_id"), "client_id", "amount")
     tables.write_bucketed(facts, left, buckets, "transaction_id", f"{path}/txn")
     tables.write_bucketed(lake.labels, right, buckets, "transaction_id", f"{path}/lab")
-    joined = spark.table(left).join(spark.table(right), "transaction_id", "left")
-    spark.sql(f"DROP TABLE {left}")
-    spark.sql(f"DROP TABLE {right}")
-    return joined
+    # Both stay in the catalog, which knows about the buckets when the result is read.
+    return spark.table(left).join(spark.table(right), "transaction_id", "left")
 
 
 QUERIES: dict[str, Query] = {
