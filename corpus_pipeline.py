@@ -5,13 +5,12 @@ shared folder and reads it back, so that a lost executor costs no more than its
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import additive_model, bin_packing, line_templates, near_dup, semantic_leaks
 from ledgerlake.llm.queries import shared_folder
+from ledgerlake.workspace import shared_folder as fresh_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +56,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shared_folder(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4()}"
+    folder = fresh_folder(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
