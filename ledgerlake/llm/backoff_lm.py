@@ -107,12 +107,19 @@ def _unpack(block: bytes) -> tuple[list, list[bytes]]:
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """Bytes of whole numbers, all lowest first, then all second: what is mostly zero lies together and packs well."""
-    return np.ascontiguousarray(values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes()
-
-
-def _numbers(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).reshape(-1)
+    """Whole numbers in as many bytes as the greatest needs: that width, then all lowest bytes, all second ones, and so
+    on, so that what is mostly zero lies together and packs well."""
+    values = values.astype(np.uint64)
+    width = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    return bytes([width]) + np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def _numbers(data) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8)
+    width = int(planes[0])
+    out = np.zeros(((len(planes) - 1) // width, 8), np.uint8)
+    out[:, :width] = planes[1:].reshape(width, -1).T
+    return out.view(np.uint64).reshape(-1)
 
 
 def _ranges(keys: np.ndarray, bits: int = RANGE_BITS) -> np.ndarray:
