@@ -145,6 +145,26 @@ def test_hot_leaf_in_shards(spark, monkeypatch):
     test_recurring_templates_are_dropped(spark)
 
 
+def test_large_leaf_keeps_templates_of_single_lines(spark, monkeypatch):
+    """Lines with alphabetic variables, each in one document, meet however small the parts of a leaf are."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghij", k=8))
+    own = lambda: " ".join(word() for _ in range(12))
+    rows = [(k, f"{own()}\nserved in full by the {word()} host {word()} ok") for k in range(6)]
+    rows += [(100 + k, f"{own()}\nserved in full " + " ".join(word() for _ in range(6))) for k in range(300)]  # the same leaf
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def dropped():
+        before, after = ({r.doc_id: r.text for r in d.collect()} for d in (docs, line_templates.drop_recurring_lines(docs)))
+        return {k for k in before if before[k] != after[k]}
+
+    whole = dropped()
+    assert whole == set(range(1, 6))
+    for lines in (2, 200):
+        monkeypatch.setattr(line_templates, "SHARD_LINES", lines)
+        assert dropped() == whole
+
+
 def test_grow_generalises_what_differs():
     lines = [(b"a b c d".split(), 2), (b"a b x d".split(), 1), (b"q r s t".split(), 1)]
     assert line_templates.grow(lines) == [(b"a b <*> d".split(), 3), (b"q r s t".split(), 1)]
