@@ -165,6 +165,20 @@ def test_large_leaf_keeps_templates_of_single_lines(spark, monkeypatch):
         assert dropped() == whole
 
 
+def test_documents_are_counted_by_template(spark):
+    """Lines of one template in one document count once for it."""
+    line, own = "the {} of the frame is set to {}".format, "some words of its own {0} that {0} no {0} other {0} text {0} has {0} at all {0} so {0} they {0} stay {0}".format
+    names = "abcdefghijklmnopqrst"
+    rows = [(k, "\n".join([*(own(c * 5 + names[k]) for c in "xyz"), *(line("part", names[k] * 3 + c) for c in "uvw")])) for k in range(2)]
+    rows += [(7 + k, f"the part of {c}{c} q{c} r{c} s{c} t{c} u{c}") for k, c in enumerate(names[10:15])]  # five documents have the leaf
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert dict(line_templates.drop_recurring_lines(docs).collect()) == dict(rows)
+    rows += [(20 + k, own(names[k] * 7) + "\n" + line("part", names[k] * 6)) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    after = dict(line_templates.drop_recurring_lines(docs).collect())
+    assert {k for k, text in rows if after[k] != text} == {1, 20, 21, 22}
+
+
 def test_grow_generalises_what_differs():
     lines = [(b"a b c d".split(), 2), (b"a b x d".split(), 1), (b"q r s t".split(), 1)]
     assert line_templates.grow(lines) == [(b"a b <*> d".split(), 3), (b"q r s t".split(), 1)]
