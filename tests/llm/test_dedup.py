@@ -179,6 +179,16 @@ def test_documents_are_counted_by_template(spark):
     assert {k for k, text in rows if after[k] != text} == {1, 20, 21, 22}
 
 
+def test_boilerplate_goes_whatever_its_share(spark):
+    """A footer longer than the page, and a short menu line, go from all but the first page; copies keep their lines."""
+    footer = "\n".join(f"{c} this part of the footer is the same on every page of it" for c in "pqrst")
+    own = lambda k: " ".join(f"own{k}x{i}" for i in range(40))
+    rows = [(k, f"{own(k)}\nHome 2\n{footer}") for k in range(25)] + [(40 + k, f"whole copy of one\n{footer}\nand its own end line") for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    after = dict(line_templates.drop_recurring_lines(docs).collect())
+    assert after == dict(rows) | {k: own(k) for k in range(1, 25)}
+
+
 def test_grow_generalises_what_differs():
     lines = [(b"a b c d".split(), 2), (b"a b x d".split(), 1), (b"q r s t".split(), 1)]
     assert line_templates.grow(lines) == [(b"a b <*> d".split(), 3), (b"q r s t".split(), 1)]
