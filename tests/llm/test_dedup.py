@@ -258,6 +258,19 @@ def test_chains_weigh_as_much_as_all_pairs_say():
         assert (np.diff(pos[order][members]) > 0).all() and (np.diff(ref[order][members]) > 0).all()
 
 
+def test_chains_of_swapped_passages(spark):
+    """Exact passages of 50 words are chained beside another in swapped order as they are alone."""
+    rng = random.Random(3)
+    words = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    rows, want = [], set()
+    for k in range(40):
+        a, b = words(50), words(50)
+        rows += [(2 * k, " ".join([*words(30), *a, *words(70), *b])), (2 * k + 1, " ".join([*b, *words(90), *a, *words(20)]))]
+        want |= {(2 * k + 1, 0, 50), (2 * k + 1, 140, 190)}
+    got = passage_chains.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.first_word, r.past_word) for r in got} == want
+
+
 def test_every_run_keeps_its_least_hash():
     rng = np.random.default_rng(1)
     h = rng.integers(0, 50, size=60).astype(np.uint64)
