@@ -271,6 +271,19 @@ def test_chains_of_swapped_passages(spark):
     assert {(r.doc_id, r.first_word, r.past_word) for r in got} == want
 
 
+def test_seeds_elsewhere_take_no_passage_away(spark):
+    """A passage is found though smaller ids have all of its six-word windows, each alone, or the document has one twice."""
+    rng = random.Random(4)
+    words = lambda n: [f"t{rng.randrange(10**9)}" for _ in range(n)]
+    passage, twice = words(60), words(60)
+    single = [(k, " ".join([*words(20), *passage[k : k + 6], *words(20)])) for k in range(55)]
+    rows = [(100, [*words(30), *passage, *words(30)]), (200, [*words(40), *passage, *words(9)]), (300, [*words(9), *twice])]
+    again = [w for k in range(55) for w in [*twice[k : k + 6], *words(20)]]
+    rows = single + [(k, " ".join(t)) for k, t in [*rows, (400, [*again, *twice])]]
+    got = passage_chains.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.ref_id, r.first_word, r.past_word) for r in got} == {(200, 100, 40, 100), (400, 300, len(again), len(again) + 60)}
+
+
 def test_every_run_keeps_its_least_hash():
     rng = np.random.default_rng(1)
     h = rng.integers(0, 50, size=60).astype(np.uint64)
