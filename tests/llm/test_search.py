@@ -247,3 +247,14 @@ def test_pipeline_odd_rows(spark, tmp_path):
 def test_all_are_registered():
     names = contract.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+def test_terms_are_counted_by_document(spark):
+    """Forms of a word, and words of one hashed term, count once for a text."""
+    terms = semantic_leaks._TERMS
+    names = [b"w%d" % k for k in range(3 * terms)]
+    numbers = semantic_leaks.term_numbers(names)
+    twin = next(k for k in range(1, len(names)) if numbers[k] == numbers[0])
+    texts = [f"w0 w0, w0. (w0) W0 w{twin} ...", "other", None, "more words"]
+    weight = semantic_leaks.term_weights(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert np.isclose(weight[numbers[0]], np.log(5 / 2) + 0.1)
