@@ -11,14 +11,18 @@ from ledgerlake.llm import (
     additive_model,
     backoff_lm,
     bin_packing,
+    block_max,
     boosted_rules,
     host_trust,
     line_templates,
     near_dup,
     passage_chains,
     semantic_leaks,
+    suffix_repeats,
     toxic_spans,
+    turn_trie,
 )
+from ledgerlake.llm.blocks import scratch_folder
 from ledgerlake.llm.text import held_out
 
 
@@ -95,6 +99,26 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id"), 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared_folder(spark)
+    found = suffix_repeats.repeated_strings(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared_folder(spark)
+    index = block_max.build_index(_table(spark, sf_dir, "documents"), scratch_folder(spark))
+    return block_max.search(index, _table(spark, sf_dir, "benchmark"), 50)
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared_folder(spark)
+    trie = turn_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+    return trie.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules,
     "op2_near_dedup": near_dedup,
@@ -106,6 +130,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": url_filter,
     "op9_toxicity": toxicity,
     "op10_quality_classifier": quality_classifier,
+    "op11_suffix_dedup": suffix_dedup,
+    "op12_lexical_search": lexical_search,
+    "op13_conversation_trie": conversation_trie,
 }
 #: Near duplicates by comparing all documents that share a shingle.
 NEAR_DEDUP_SQL = """
@@ -141,4 +168,116 @@ least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT z.doc_id, z.n AS n_shingles, l.component_id, z.doc_id = l.component_id AS kept
 FROM sizes z JOIN least l ON z.doc_id = l.doc_id
 """
-SQL: dict[str, str] = {"op2_near_dedup": NEAR_DEDUP_SQL}
+#: All windows of 50 bytes, in hexadecimal digits.
+SUFFIX_DEDUP_SQL = """
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+cuts AS (
+    SELECT r, doc_id, 500 * c AS base, substr(h, 1000 * c + 1, 1098) AS part
+    FROM (SELECT r, doc_id, h, unnest(range(0, len(h) // 1000 + 1)) AS c FROM texts)
+),
+windows AS (
+    SELECT r, doc_id, base + i AS i, substr(part, 2 * i + 1, 100) AS s
+    FROM (SELECT r, doc_id, base, part, unnest(range(0, len(part) // 2 - 49)) AS i FROM cuts WHERE len(part) >= 100)
+),
+firsts AS (SELECT s, min(doc_id) AS least FROM windows GROUP BY s),
+covered AS (SELECT r, i FROM windows JOIN firsts USING (s) WHERE least < doc_id),
+marked AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 50 THEN 0 ELSE 1 END AS opens FROM covered),
+numbered AS (SELECT r, i, sum(opens) OVER (PARTITION BY r ORDER BY i ROWS UNBOUNDED PRECEDING) AS span FROM marked),
+spans AS (SELECT r, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY r, span),
+pieces AS (
+    SELECT r, a, b, substr(h, 2 * before + 1, 2 * (a - before)) AS piece
+    FROM (SELECT s.r, s.a, s.b, t.h, coalesce(lag(s.b) OVER (PARTITION BY s.r ORDER BY s.a), 0) AS before FROM spans s JOIN texts t ON s.r = t.r)
+),
+removed AS (SELECT r, sum(b - a) AS n, count(*) AS n_spans, max(b) AS past, string_agg(piece, '' ORDER BY a) AS head FROM pieces GROUP BY r)
+SELECT t.doc_id, CAST(len(t.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(x.n, 0) AS BIGINT) AS n_removed, CAST(coalesce(x.n_spans, 0) AS BIGINT) AS n_spans,
+    sha256(unhex(coalesce(x.head, '') || substr(t.h, 2 * coalesce(x.past, 0) + 1))) AS kept_sha256
+FROM texts t LEFT JOIN removed x ON t.r = x.r
+"""
+#: Scores of all documents that share a term with an item.
+LEXICAL_SEARCH_SQL = """
+WITH terms AS (
+    SELECT r, doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)
+),
+lengths AS (SELECT r, count(*) AS n FROM terms GROUP BY r),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM lengths),
+postings AS (SELECT r, doc_id, term, count(*) AS tf FROM terms GROUP BY r, doc_id, term),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM postings, corpus GROUP BY term, docs
+),
+asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM benchmark WHERE item_id IS NOT NULL
+),
+scores AS (
+    SELECT a.item_id, p.r, p.doc_id,
+        CAST(sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 20 * (50 + (50 * l.n * c.docs) // c.words)))) AS BIGINT) AS score
+    FROM asked a JOIN weights w ON a.term = w.term JOIN postings p ON a.term = p.term JOIN lengths l ON p.r = l.r, corpus c
+    GROUP BY a.item_id, p.r, p.doc_id
+),
+ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank, doc_id, score FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+#: Prefixes as lists of turn digests; crc32 bit by bit.
+CONVERSATION_TRIE_SQL = """
+WITH turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS nth, k, size
+    FROM (
+        SELECT conv_id, turn, length(coalesce(text, '')) AS size, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+        FROM conversations WHERE conv_id IS NOT NULL
+    )
+),
+convs AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS family, xor(crc, 4294967295) % 6 AS h
+    FROM (
+        SELECT conv_id, list_reduce(
+            list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+            lambda c, x: list_reduce(
+                list_prepend(xor(c, x), list_transform(range(8), lambda i: CAST(i AS BIGINT))),
+                lambda y, i: CASE WHEN y % 2 = 1 THEN xor(y // 2, CAST(3988292384 AS BIGINT)) ELSE y // 2 END)) AS crc
+        FROM (SELECT DISTINCT conv_id FROM turns)
+    )
+),
+rebuilt AS (
+    SELECT c.conv_id, 0 AS part, t.nth, t.k, t.size FROM convs c JOIN turns t ON t.conv_id = c.family AND t.nth <= c.h
+    UNION ALL
+    SELECT c.conv_id, 1 AS part, t.nth, t.k, t.size FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.nth > c.h
+),
+paths AS (
+    SELECT conv_id, row_number() OVER w AS depth, list(k) OVER w AS path, size
+    FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, nth ROWS UNBOUNDED PRECEDING)
+    UNION ALL
+    SELECT conv_id, 0, CAST([] AS VARCHAR[]), 0 FROM convs
+),
+nodes AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(size) AS size FROM paths GROUP BY path, depth),
+kin AS (
+    SELECT n.*, p.conv_id AS parent_conv_id, coalesce(c.n, 0) AS n_children
+    FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = list_slice(n.path, 1, n.depth - 1)
+    LEFT JOIN (SELECT list_slice(path, 1, depth - 1) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1) c ON c.path = n.path
+),
+sums AS (
+    SELECT up AS path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT n_children, (n_convs - 1) * size AS saved, unnest(list_transform(range(0, depth + 1), lambda d: list_slice(path, 1, d))) AS up FROM kin)
+    GROUP BY up
+),
+longest AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id),
+ends AS (
+    SELECT p.path, string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) AS ids
+    FROM paths p JOIN longest l ON p.conv_id = l.conv_id AND p.depth = l.depth GROUP BY p.path
+)
+SELECT k.conv_id, CAST(k.depth AS BIGINT) AS depth, k.parent_conv_id, CAST(k.n_convs AS BIGINT) AS n_convs, CAST(k.n_children AS BIGINT) AS n_children,
+    CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM kin k JOIN sums s ON k.path = s.path LEFT JOIN ends e ON k.path = e.path
+"""
+SQL: dict[str, str] = {
+    "op2_near_dedup": NEAR_DEDUP_SQL,
+    "op11_suffix_dedup": SUFFIX_DEDUP_SQL,
+    "op12_lexical_search": LEXICAL_SEARCH_SQL,
+    "op13_conversation_trie": CONVERSATION_TRIE_SQL,
+}
