@@ -7,19 +7,22 @@ import uuid
 from collections.abc import Callable
 from functools import cached_property, lru_cache
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as s
-from ..functions.calendar import fixed_windows, month_windows, widen_to_months
+from ..functions.calendar import date_window_filter, fixed_windows, month_windows, widen_to_months
+from ..jobs import Lakehouse, layer_digests, merge_load
 from ..operators import quality
+from ..operators.reconcile import differing_rows, reconcile
 from ..operators.top import top_per_group
 from ..plans import bronze, detail, latest, market, merchant, seen, silver, source, user
-from ..schemas import SILVER_TRANSACTIONS, ddl
+from ..schemas import GOLD_DAILY_ACTIVES, SILVER_TRANSACTIONS, ddl
 from ..sinks import tables
 from ..sources.files import CSV_WRITE
-from ..streaming.cdc import envelope, land_cdc
-from ..workspace import shared_folder
+from ..streaming.cdc import BatchWriter, envelope, land_batches, land_cdc, landed_batches
+from ..workspace import drop_at_end, shared_folder
 from .inputs import Lake, cdc_records, given
 
 AS_OF = dt.date(2024, 6, 15)
@@ -411,15 +414,62 @@ def latest_day_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.latest_day_summary(layers(spark, sf_dir).detail)
 
 
+def _stored_detail(spark: SparkSession, rows: DataFrame) -> str:
+    """The fact as the jobs store it, by day; the name stays in the catalog until the session ends."""
+    name = _table_name("detail")
+    tables.create_declared(spark, "gold.transaction_detail", name, shared_folder(spark))
+    drop_at_end(spark, f"TABLE {name}")
+    tables.replace_partitions(rows, name, market.FACT_PARTITIONS)
+    return name
+
+
+@lru_cache(maxsize=4)
+def _kept_detail(spark: SparkSession, sf_dir: str) -> str:
+    """One stored fact for all queries that only read it."""
+    return _stored_detail(spark, layers(spark, sf_dir).detail)
+
+
 def latest_day_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same through a catalog view over a stored fact."""
-    name, view = _table_name("detail"), _table_name("vw")
-    tables.overwrite(layers(spark, sf_dir).detail, name, shared_folder(spark))
+    """The same through a catalog view over a stored fact, which is evaluated by whoever reads the result."""
+    name, view = _kept_detail(spark, sf_dir), _table_name("vw")
     latest.create_latest_day_view(spark, view, name)
-    # Both stay in the catalog: the view is evaluated by whoever reads the result.
+    drop_at_end(spark, f"VIEW {view}")
     return spark.table(view)
 
 
+def latest_day_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the stored fact's list of partitions."""
+    name = _kept_detail(spark, sf_dir)
+    return latest.latest_day_summary(spark.table(name), tables.last_date(spark, name, market.FACT_PARTITIONS))
+
+
+def active_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct clients and merchants per month, and over all months, from bitmaps kept by day."""
+    path = shared_folder(spark)
+    market.active_bitmaps(layers(spark, sf_dir).detail).write.partitionBy("year", "month").parquet(path)
+    kept = spark.read.schema(ddl(GOLD_DAILY_ACTIVES)).parquet(path)
+    whole = market.active_counts(kept).select(F.lit(None).cast("date").alias("period_date"), *market.ACTIVES)
+    return market.active_counts(kept, "month").unionByName(whole)
+
+
+def _tampered(detail: DataFrame) -> DataFrame:
+    """A fact that lost some rows on the way and has some twice."""
+    return detail.where("transaction_id % 1013 <> 7").unionByName(detail.where("transaction_id % 1009 = 5"))
+
+
+def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three layers by month; the last one lost some rows and has others twice."""
+    lake = layers(spark, sf_dir)
+    rows = {"bronze": lake.transactions, "silver": lake.silver_transactions, "gold": _tampered(lake.detail)}
+    return reconcile({name: layer_digests(df, name) for name, df in rows.items()})
+
+
+def differing_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows behind the differences."""
+    detail = layers(spark, sf_dir).detail
+    return differing_rows(detail, _tampered(detail), ["transaction_id", "txn_date_time"])
+
+
 # ------------------------------------------------------------------ windows that cut
 
 
@@ -465,6 +515,23 @@ def _bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers(spark, sf_dir).transactions.agg(F.min(date).alias("start_date"), F.max(date).alias("end_date"))
 
 
+def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of a year, counted one by one. Those that begin in an even year fail at first and are done by the second run."""
+    house = Lakehouse(spark, gold=_table_name("gold"), root=shared_folder(spark))
+    tables.create_database(spark, house.gold, f"{house.root}/gold")
+    drop_at_end(spark, f"DATABASE {house.gold} CASCADE")
+    tables.create_declared(spark, "gold.run_ledger", house.name("gold.run_ledger"))
+    rows, windows = layers(spark, sf_dir).transactions, fixed_windows(_bounds(spark, sf_dir), 365)
+
+    def build(start: dt.date, end: dt.date, poisoned: bool = False) -> int:
+        if poisoned and start.year % 2 == 0:
+            raise ValueError("poisoned window")
+        return date_window_filter(rows, "date_time", start, end).count()
+
+    house.run_windows("count", lambda start, end: build(start, end, poisoned=True), windows)
+    return house.run_windows("count", build, windows).drop("message", "recorded_at")
+
+
 def calendar_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed_windows(_bounds(spark, sf_dir), 7)
 
@@ -527,6 +594,48 @@ def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable_silver(spark.read.schema(ddl(SILVER_TRANSACTIONS)).parquet(path))
 
 
+def window_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact by day, and a rerun of a window whose input has lost every second day since: those days are gone."""
+    fact = layers(spark, sf_dir).detail
+    name = _stored_detail(spark, fact)
+    again = date_window_filter(fact, "txn_date_time", START, END).where("txn_day % 2 = 1")
+    tables.replace_window(again, name, market.FACT_PARTITIONS, tables.between(market.FACT_PARTITIONS, START, END))
+    return spark.table(name).drop("client_key", "card_key", "created_at")
+
+
+def scd2_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User versions merged load by load, out of order, one load twice."""
+    name, users = _table_name("user_versions"), layers(spark, sf_dir).users
+    tables.create_declared(spark, "silver.user_versions", name, shared_folder(spark))
+    drop_at_end(spark, f"TABLE {name}")
+    for year in (2021, 2020, 2022, 2021):
+        merge_load(spark, name, users.where(F.year("load_at") == year))
+    return silver.shape_users(spark.table(name), AS_OF).drop("client_key")
+
+
+def cdc_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches of one file each; the second one fails after it was written and is repeated after a restart."""
+    folder = shared_folder(spark)
+    events = given(spark, sf_dir, "events")
+    events.repartition(4, "event_id").write.parquet(f"{folder}/topic")
+    files = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    write = BatchWriter(f"{folder}/landed")
+
+    def failing(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        if batch_id == 1:
+            raise RuntimeError("lost after writing")
+
+    for sink in (failing, write):
+        stream = land_batches(cdc_records(files.parquet(f"{folder}/topic")), sink, write.path, f"{folder}/checkpoint", once=True)
+        try:
+            stream.awaitTermination()
+        except StreamingQueryException:
+            if sink is write:
+                raise
+    return landed_batches(spark, write.path).drop("ingestion_time", "ingestion_date", "batch_id")
+
+
 def append_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads of the users appended to one bronze table."""
     lake, name, path = layers(spark, sf_dir), _table_name("bronze_users"), shared_folder(spark)
@@ -537,6 +646,21 @@ def append_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def detail_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide fact from declared tables, bucketed by transaction: neither facts nor labels move for their join."""
+    lake, path = layers(spark, sf_dir), shared_folder(spark)
+    names = {table: _table_name("bucketed") for table in ("silver.transactions", "bronze.train_fraud_labels")}
+    for table, name in names.items():
+        tables.create_declared(spark, table, name, f"{path}/{table}", buckets=16)
+        drop_at_end(spark, f"TABLE {name}")
+    facts, marks = names.values()
+    tables.replace_partitions(lake.silver_transactions, facts, ["year", "month"])
+    nothing = F.lit(None)
+    tables.overwrite_rows(lake.labels.withColumns({"file_name": nothing.cast("string"), "load_at": nothing.cast("timestamp")}), marks)
+    rows = detail.transaction_detail(spark.table(facts), lake.silver_users, lake.silver_cards, lake.mcc_codes, spark.table(marks))
+    return rows.drop("client_key", "card_key", "created_at")
+
+
 def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions and labels in equal buckets of the transaction id: the join of two large sides needs no exchange.
 
@@ -544,11 +668,12 @@ def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     lake, path = layers(spark, sf_dir), shared_folder(spark)
     left, right = _table_name("txn"), _table_name("lab")
-    buckets = tables.bucket_count(given(spark, sf_dir, "orders").count())
+    buckets = 16
     facts = lake.transactions.select(F.col("id").alias("transaction_id"), "client_id", "amount")
     tables.write_bucketed(facts, left, buckets, "transaction_id", f"{path}/txn")
     tables.write_bucketed(lake.labels, right, buckets, "transaction_id", f"{path}/lab")
-    # Both stay in the catalog, which knows about the buckets when the result is read.
+    # Both stay in the catalog, which knows about the buckets when the result is read, until the session ends.
+    drop_at_end(spark, f"TABLE {left}", f"TABLE {right}")
     return spark.table(left).join(spark.table(right), "transaction_id", "left")
 
 
@@ -565,5 +690,7 @@ QUERIES: dict[str, Query] = {
         rule_violations, distinct_pairs, partition_overwrite, append_then_read, bucketed_join,
         detail_window, market_window, new_clients_window, merchant_window,
         market_kept_history, merchant_kept_history,
+        latest_day_listed, active_counts, reconciliation, differing_transactions, run_ledger, window_replacement,
+        scd2_merge, cdc_replay, detail_bucketed,
     )
 }

@@ -400,6 +400,9 @@ TOTALS_OUT = f"""
     {_int('coalesce(t.merchants, 0)')} AS merchant_unique_cnt
 """
 
+# How often a transaction occurs in the fact that lost some rows and has some twice.
+COPIES = "(CASE WHEN transaction_id % 1013 <> 7 THEN 1 ELSE 0 END + CASE WHEN transaction_id % 1009 = 5 THEN 1 ELSE 0 END)"
+
 DETAIL_COLUMNS = "* EXCLUDE (txn_date, txn_first)"
 
 _REPEATED = """
@@ -576,6 +579,46 @@ def statements() -> dict[str, str]:
         ),
         "q_latest_day_summary": latest,
         "q_latest_day_view": latest,
+        "q_latest_day_listed": latest,
+        "q_active_counts": _with(
+            """SELECT txn_first AS period_date, count(DISTINCT client_id) AS client_unique_cnt,
+                count(DISTINCT merchant_id) AS merchant_active_cnt FROM detail GROUP BY txn_first
+            UNION ALL SELECT NULL, count(DISTINCT client_id), count(DISTINCT merchant_id) FROM detail""",
+            "detail",
+        ),
+        "q_reconciliation": _with(
+            f"""SELECT txn_first AS "window", count(*) AS bronze_rows, count(*) AS silver_rows,
+                CAST(sum(copies) AS BIGINT) AS gold_rows, 'same' AS silver_state,
+                CASE WHEN sum(copies) < count(*) THEN 'lost' WHEN sum(copies) > count(*) THEN 'doubled'
+                     WHEN bool_and(copies = 1) THEN 'same' ELSE 'changed' END AS gold_state
+            FROM (SELECT txn_first, {COPIES} AS copies FROM detail) GROUP BY txn_first""",
+            "detail",
+        ),
+        "q_differing_transactions": _with(
+            f"""SELECT transaction_id, txn_date_time, CAST(1 AS BIGINT) AS rows_before, CAST({COPIES} AS BIGINT) AS rows_after
+            FROM detail WHERE {COPIES} <> 1""",
+            "detail",
+        ),
+        "q_run_ledger": _with(
+            """SELECT 'count' AS job, window_start, window_end, 'done' AS state, row_count,
+                CAST(CASE WHEN year(window_start) % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS attempts
+            FROM (
+                SELECT window_start, least(window_start + 364, end_date) AS window_end,
+                    (SELECT count(*) FROM in_transactions t
+                     WHERE CAST(t.date_time AS DATE) BETWEEN w.window_start AND least(w.window_start + 364, w.end_date)) AS row_count
+                FROM (SELECT CAST(unnest(generate_series(start_date, end_date, INTERVAL 365 DAY)) AS DATE) AS window_start, end_date
+                      FROM bounds) w
+            )""",
+            "bounds", "in_transactions",
+        ),
+        "q_window_replacement": _with(
+            f"""SELECT {DETAIL_COLUMNS} FROM detail
+            WHERE txn_date NOT BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}' OR txn_day % 2 = 1""",
+            "detail",
+        ),
+        "q_scd2_merge": _with("SELECT * FROM s_users", "s_users"),
+        "q_cdc_replay": _with(cdc, "in_cdc"),
+        "q_detail_bucketed": _with(f"SELECT {DETAIL_COLUMNS} FROM detail", "detail"),
         "q_calendar_windows": _with(
             """SELECT CAST(w AS DATE) AS window_start, least(CAST(w AS DATE) + 6, end_date) AS window_end
                FROM (SELECT unnest(generate_series(CAST(start_date AS TIMESTAMP), CAST(end_date AS TIMESTAMP),

@@ -21,6 +21,7 @@ def transaction_detail(
     end: DateLike | None = None,
     created_at: Column | None = None,
     fraud_token: str = s.FRAUD_TOKEN,
+    wide: bool = False,
 ) -> DataFrame:
     """Silver transactions of a date window joined to the dimension versions they refer to.
 
@@ -73,4 +74,5 @@ def transaction_detail(
             "txn_month": F.month("date_time"),
             "txn_day": F.dayofmonth("date_time"),
         },
+        wide,
     )

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from ..functions import scalars as s
 from ..functions.calendar import as_date, date_window_filter
 from ..functions.scalars import DateLike
+from ..operators.bitmaps import distinct_bitmaps, merged_counts
 from ..operators.distinct import distinct_counts
 from ..operators.history import calendar_lags, first_seen
 from ..operators.top import leader, leader_count, leader_key, top_per_group
-from ..schemas import GOLD_MARKET_DAILY, conform, wide_counts
+from ..schemas import GOLD_DAILY_ACTIVES, GOLD_MARKET_DAILY, conform
 
 LAGS = (1, 7, 30)
+ACTIVES = {"client_unique_cnt": "client_id", "merchant_active_cnt": "merchant_id"}
 FACT_PARTITIONS = ("txn_year", "txn_month", "txn_day")
 
 
@@ -83,10 +85,29 @@ def daily_actives(detail: DataFrame, start: DateLike | None = None, end: DateLik
     return distinct_counts(
         in_window(detail, start, end),
         {"period_date": F.to_date("txn_date_time")},
-        {"client_unique_cnt": "client_id", "merchant_active_cnt": "merchant_id"},
+        ACTIVES,
     )
 
 
+def active_bitmaps(detail: DataFrame, start: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
+    """Clients and merchants of each day as bitmaps, to be kept; the window must hold whole months."""
+    bitmaps = distinct_bitmaps(in_window(detail, start, end), {"period_date": F.to_date("txn_date_time")}, ACTIVES)
+    return conform(bitmaps, GOLD_DAILY_ACTIVES, {"year": F.year("period_date"), "month": F.month("period_date")})
+
+
+def active_counts(
+    kept: DataFrame, period: str | None = None, start: DateLike | None = None, end: DateLike | None = None
+) -> DataFrame:
+    """Exact distinct clients and merchants of each ``day``, ``month`` or ``year`` in the closed window, or over all of
+    it without a period, from kept bitmaps."""
+    if start is not None:
+        kept = kept.where((F.col("year") * 100 + F.col("month") >= as_date(start).year * 100 + as_date(start).month) & (F.col("period_date") >= s.date_lit(start)))
+    if end is not None:
+        kept = kept.where((F.col("year") * 100 + F.col("month") <= as_date(end).year * 100 + as_date(end).month) & (F.col("period_date") <= s.date_lit(end)))
+    group = {} if period is None else {"period_date": F.trunc("period_date", period) if period != "day" else F.col("period_date")}
+    return merged_counts(kept, group, list(ACTIVES))
+
+
 def new_clients(
     detail: DataFrame, start: DateLike | None = None, end: DateLike | None = None, first_dates: DataFrame | None = None
 ) -> DataFrame:
@@ -118,27 +139,30 @@ def market_daily_summary(
     updated_at: Column | None = None,
     first_dates: DataFrame | None = None,
     wide: bool = False,
+    actives: DataFrame | None = None,
 ) -> DataFrame:
     """One row per day with transactions in the closed window, or on any day without one; all windows in one job.
 
     Four scans of few columns each, instead of one wide one: every shuffle then carries only what its grouping needs.
+    ``first_dates`` and ``actives`` (``active_bitmaps``) are optional kept tables that save two of them.
     """
+    active = daily_actives(detail, start, end) if actives is None else active_counts(actives, "day", start, end)
     look_back = None if start is None else as_date(start) - dt.timedelta(days=max(LAGS))
     days = with_lags(daily_totals(detail, look_back, end))
     if start is not None:
         days = days.where(F.col("period_date") >= s.date_lit(start))
     joined = (
         days.join(daily_top_category(detail, start, end), "period_date", "left")
-        .join(daily_actives(detail, start, end), "period_date", "left")
+        .join(active, "period_date", "left")
         .join(new_clients(detail, start, end, first_dates), "period_date", "left")
     )
-    columns = wide_counts(GOLD_MARKET_DAILY) if wide else GOLD_MARKET_DAILY
     return conform(
         joined,
-        columns,
+        GOLD_MARKET_DAILY,
         {
             "updated_at": F.current_timestamp() if updated_at is None else updated_at,
             "year": F.year("period_date"),
             "month": F.month("period_date"),
         },
+        wide,
     ).fillna(0)

@@ -12,7 +12,7 @@ from ..functions.calendar import as_date
 from ..functions.scalars import DateLike
 from ..operators.distinct import distinct_counts
 from ..operators.history import first_month_flag, previous_month_values
-from ..schemas import GOLD_MERCHANT_MONTHLY, conform, wide_counts
+from ..schemas import GOLD_MERCHANT_MONTHLY, conform
 from .market import in_window
 
 PAIR = ("merchant_id", "client_id")
@@ -126,13 +126,13 @@ def merchant_monthly_performance(
         F.col("merchant_id").eqNullSafe(F.col("reach_id")) & (F.col("period_month") == F.col("reach_month")),
         "left",
     )
-    columns = wide_counts(GOLD_MERCHANT_MONTHLY) if wide else GOLD_MERCHANT_MONTHLY
     return conform(
         joined,
-        columns,
+        GOLD_MERCHANT_MONTHLY,
         {
             "updated_at": F.current_timestamp() if updated_at is None else updated_at,
             "year": F.year("period_month"),
             "month": F.month("period_month"),
         },
+        wide,
     ).fillna(0)

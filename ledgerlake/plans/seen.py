@@ -18,17 +18,21 @@ from .market import in_window
 from .merchant import PAIR, month_before
 
 
-def client_months(detail: DataFrame, start: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
+def client_months(
+    detail: DataFrame, start: DateLike | None = None, end: DateLike | None = None, wide: bool = False
+) -> DataFrame:
     """First date of each client in each month of the window, which must hold whole months."""
     month = s.month_start("txn_date_time")
     seen = in_window(detail, start, end).groupBy("client_id", month.alias("period_month")).agg(F.min(F.to_date("txn_date_time")).alias("first_date"))
-    return conform(seen, GOLD_CLIENT_MONTHS, {"year": F.year("period_month"), "month": F.month("period_month")})
+    return conform(seen, GOLD_CLIENT_MONTHS, {"year": F.year("period_month"), "month": F.month("period_month")}, wide)
 
 
-def merchant_client_months(detail: DataFrame, start: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
+def merchant_client_months(
+    detail: DataFrame, start: DateLike | None = None, end: DateLike | None = None, wide: bool = False
+) -> DataFrame:
     """Pairs of merchant and client seen in each month of the window, which must hold whole months."""
     pairs = in_window(detail, start, end).select(*PAIR, s.month_start("txn_date_time").alias("period_month")).distinct()
-    return conform(pairs, GOLD_MERCHANT_CLIENT_MONTHS, {"year": F.year("period_month"), "month": F.month("period_month")})
+    return conform(pairs, GOLD_MERCHANT_CLIENT_MONTHS, {"year": F.year("period_month"), "month": F.month("period_month")}, wide)
 
 
 def first_dates(months: DataFrame, end: DateLike | None = None) -> DataFrame:

@@ -12,12 +12,17 @@ from ..operators.versions import close_versions
 from ..schemas import SILVER_CARDS, SILVER_TRANSACTIONS, SILVER_USERS, conform
 
 
-def silver_users(bronze: DataFrame, as_of: DateLike) -> DataFrame:
+def silver_users(bronze: DataFrame, as_of: DateLike, wide: bool = False) -> DataFrame:
     """User versions with ages as of a date, income in numbers and bands."""
+    return shape_users(close_versions(bronze, "id", "load_at"), as_of, wide)
+
+
+def shape_users(versions: DataFrame, as_of: DateLike, wide: bool = False) -> DataFrame:
+    """The same from versions that are closed already: a projection."""
     age = s.age_at(as_of, "birth_year")
     income = s.money("yearly_income", 15, 2)
     return conform(
-        close_versions(bronze, "id", "load_at"),
+        versions,
         SILVER_USERS,
         {
             "client_key": F.col("version_key"),
@@ -29,14 +34,20 @@ def silver_users(bronze: DataFrame, as_of: DateLike) -> DataFrame:
             "income_group": s.income_group(income),
             "total_debt": s.money("total_debt", 15, 2),
         },
+        wide,
     )
 
 
-def silver_cards(bronze: DataFrame, as_of: DateLike) -> DataFrame:
+def silver_cards(bronze: DataFrame, as_of: DateLike, wide: bool = False) -> DataFrame:
     """Card versions with checked month and year parts, expiry as of a date, and the limit in numbers."""
+    return shape_cards(close_versions(bronze, "id", "load_at"), as_of, wide)
+
+
+def shape_cards(versions: DataFrame, as_of: DateLike, wide: bool = False) -> DataFrame:
+    """The same from versions that are closed already: a projection."""
     year, month = s.year_of("expires"), s.month_of("expires")
     return conform(
-        close_versions(bronze, "id", "load_at"),
+        versions,
         SILVER_CARDS,
         {
             "card_key": F.col("version_key"),
@@ -52,6 +63,7 @@ def silver_cards(bronze: DataFrame, as_of: DateLike) -> DataFrame:
             "acct_open_year": s.year_of("acct_open_date"),
             "acct_open_month": s.month_of("acct_open_date"),
         },
+        wide,
     )
 
 
@@ -67,6 +79,7 @@ def silver_transactions(
     start: DateLike | None = None,
     end: DateLike | None = None,
     updated_at: Column | None = None,
+    wide: bool = False,
 ) -> DataFrame:
     """Typed transactions of a date window with the keys of the current user and card rows."""
     rows = date_window_filter(bronze, "date_time", start, end)
@@ -92,4 +105,5 @@ def silver_transactions(
             "year": F.year("date_time"),
             "month": F.month("date_time"),
         },
+        wide,
     )

@@ -10,19 +10,20 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import blank_to_null, typed
 from ..operators import quality
-from ..schemas import SOURCE_CARDS, SOURCE_TRANSACTIONS, SOURCE_USERS, STAGED_TRANSACTIONS, conform
+from ..schemas import SOURCE_CARDS, SOURCE_TRANSACTIONS, SOURCE_USERS, STAGED_TRANSACTIONS, conform, widened
 from ..sources.files import read_csv
 
 
-def type_transactions(staged: DataFrame) -> DataFrame:
+def type_transactions(staged: DataFrame, wide: bool = False) -> DataFrame:
     """Staged text to typed columns; rows without an id are left out."""
     numbers = ("id", "client_id", "card_id", "merchant_id", "mcc")
     texts = ("amount", "use_chip", "merchant_city", "merchant_state", "zip", "errors")
     moment = typed("date_time", "timestamp")
+    columns = widened(SOURCE_TRANSACTIONS) if wide else SOURCE_TRANSACTIONS
     return conform(
         staged.where("id IS NOT NULL AND id != ''"),
-        SOURCE_TRANSACTIONS,
-        {name: typed(name, "int") for name in numbers}
+        columns,
+        {name: typed(name, columns[name]) for name in numbers}
         | {name: blank_to_null(name) for name in texts}
         | {"date_time": moment, "date": F.to_date(moment)},
     )
@@ -77,18 +78,20 @@ def _stack(parts: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
-def load_source(spark: SparkSession, users: str, cards: str, transactions: str) -> Source:
+def load_source(spark: SparkSession, users: str, cards: str, transactions: str, wide: bool = False) -> Source:
     """Read the three CSV exports. Nothing is checked until a report of the result is asked for."""
-    return Source(load_users(spark, users), load_cards(spark, cards), load_transactions(spark, transactions))
+    return Source(
+        load_users(spark, users, wide), load_cards(spark, cards, wide), load_transactions(spark, transactions, wide)
+    )
 
 
-def load_users(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, SOURCE_USERS)
+def load_users(spark: SparkSession, path: str, wide: bool = False) -> DataFrame:
+    return read_csv(spark, path, widened(SOURCE_USERS) if wide else SOURCE_USERS)
 
 
-def load_cards(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, SOURCE_CARDS)
+def load_cards(spark: SparkSession, path: str, wide: bool = False) -> DataFrame:
+    return read_csv(spark, path, widened(SOURCE_CARDS) if wide else SOURCE_CARDS)
 
 
-def load_transactions(spark: SparkSession, path: str) -> DataFrame:
-    return type_transactions(read_csv(spark, path, STAGED_TRANSACTIONS))
+def load_transactions(spark: SparkSession, path: str, wide: bool = False) -> DataFrame:
+    return type_transactions(read_csv(spark, path, STAGED_TRANSACTIONS), wide)

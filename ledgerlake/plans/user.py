@@ -9,7 +9,7 @@ from ..functions import scalars as s
 from ..functions.scalars import DateLike
 from ..operators.distinct import distinct_counts
 from ..operators.top import leader, leader_count, leader_key
-from ..schemas import GOLD_USER_DETAIL, conform, is_count, wide_counts
+from ..schemas import GOLD_USER_DETAIL, conform, is_count
 
 
 def user_totals(detail: DataFrame) -> DataFrame:
@@ -73,10 +73,9 @@ def user_detail(
         .join(user_totals(detail), "client_id", "left")
         .join(user_reach(detail), "client_id", "left")
     )
-    columns = wide_counts(GOLD_USER_DETAIL) if wide else GOLD_USER_DETAIL
     shaped = conform(
         joined,
-        columns,
+        GOLD_USER_DETAIL,
         {
             "age_current": s.age_at(as_of, "birth_year"),
             "age_retired": F.col("retirement_age"),
@@ -86,6 +85,7 @@ def user_detail(
             "lifetime_days": F.datediff("lifetime_last_date", "lifetime_first_date"),
             "updated_at": F.current_timestamp() if updated_at is None else updated_at,
         },
+        wide,
     )
-    zeroed = [c for c in columns if is_count(c) or c.startswith("total_")] + ["lifetime_days", "merchant_top_id"]
+    zeroed = [c for c in GOLD_USER_DETAIL if is_count(c) or c.startswith("total_")] + ["lifetime_days", "merchant_top_id"]
     return shaped.fillna(0, subset=zeroed)

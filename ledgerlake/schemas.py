@@ -102,6 +102,19 @@ BRONZE_CDC = {
 
 # ------------------------------------------------------------------ silver
 
+# Raw versions as loads left them. Laid out by the day a version was closed ('open' if it wasn't) and a bucket of its key,
+# so that a load rewrites only what it can change.
+_VERSION = {
+    "valid_from": "timestamp",
+    "valid_to": "timestamp",
+    "is_current": "boolean",
+    "version_key": "bigint",
+    "closed": "string",
+    "key_bucket": "int",
+}
+SILVER_USER_VERSIONS = BRONZE_USERS | _VERSION
+SILVER_CARD_VERSIONS = BRONZE_CARDS | _VERSION
+
 SILVER_USERS = {
     "client_key": "bigint",
     "client_id": "int",
@@ -313,6 +326,26 @@ GOLD_MERCHANT_CLIENT_MONTHS = {
     "month": "int",
 }
 
+# Which clients and merchants were active on which day, as bitmaps that can be merged to any period.
+GOLD_DAILY_ACTIVES = {
+    "period_date": "date",
+    "measure": "string",
+    "bucket": "bigint",
+    "bits": "binary",
+    "year": "int",
+    "month": "int",
+}
+
+GOLD_RUN_LEDGER = {
+    "job": "string",
+    "window_start": "date",
+    "window_end": "date",
+    "state": "string",
+    "row_count": "bigint",
+    "message": "string",
+    "recorded_at": "timestamp",
+}
+
 GOLD_TRANSACTION_SUMMARY = {
     "card_brand": "string",
     "card_type": "string",
@@ -332,6 +365,8 @@ TABLES: dict[str, tuple[dict[str, str], list[str]]] = {
     "bronze.cdc_users": (BRONZE_CDC, ["ingestion_date"]),
     "bronze.cdc_cards": (BRONZE_CDC, ["ingestion_date"]),
     "bronze.cdc_transactions": (BRONZE_CDC, ["ingestion_date"]),
+    "silver.user_versions": (SILVER_USER_VERSIONS, ["closed", "key_bucket"]),
+    "silver.card_versions": (SILVER_CARD_VERSIONS, ["closed", "key_bucket"]),
     "silver.users": (SILVER_USERS, []),
     "silver.cards": (SILVER_CARDS, []),
     "silver.transactions": (SILVER_TRANSACTIONS, ["year", "month"]),
@@ -339,10 +374,19 @@ TABLES: dict[str, tuple[dict[str, str], list[str]]] = {
     "gold.market_daily_summary": (GOLD_MARKET_DAILY, ["year", "month"]),
     "gold.merchant_monthly_performance": (GOLD_MERCHANT_MONTHLY, ["year", "month"]),
     "gold.user_detail": (GOLD_USER_DETAIL, []),
+    "gold.daily_actives": (GOLD_DAILY_ACTIVES, ["year", "month"]),
+    "gold.run_ledger": (GOLD_RUN_LEDGER, []),
     "gold.client_months": (GOLD_CLIENT_MONTHS, ["year", "month"]),
     "gold.merchant_client_months": (GOLD_MERCHANT_CLIENT_MONTHS, ["year", "month"]),
 }
 
+# Column by which a table is bucketed, so that joins on it need no exchange. None of them has a hot value.
+BUCKETED_BY: dict[str, str] = {
+    "bronze.transactions": "id",
+    "bronze.train_fraud_labels": "transaction_id",
+    "silver.transactions": "transaction_id",
+}
+
 
 def ddl(columns: dict[str, str]) -> str:
     """Schema text for ``spark.read.schema`` and ``CREATE TABLE``."""
@@ -353,17 +397,28 @@ def is_count(name: str) -> bool:
     return name.endswith("_cnt") or name.startswith("total_txn") and not name.endswith("_amt")
 
 
-def wide_counts(columns: dict[str, str]) -> dict[str, str]:
-    """The same table with 64-bit counts, for groups of more than two billion rows.
+def is_id(name: str) -> bool:
+    return name == "id" or name.endswith("_id")
 
-    The declared 32-bit counts are kept by default; a larger count then stops the job instead of wrapping around.
+
+def widened(columns: dict[str, str]) -> dict[str, str]:
+    """The same table with 64-bit ids and counts, for more than two billion rows.
+
+    The declared 32-bit ones are kept by default; a larger value then stops the job instead of wrapping around.
     """
-    return {name: "bigint" if kind == "int" and is_count(name) else kind for name, kind in columns.items()}
+    return {name: "bigint" if kind == "int" and (is_count(name) or is_id(name)) else kind for name, kind in columns.items()}
+
+
+def table_columns(table: str, wide: bool = False) -> dict[str, str]:
+    return widened(TABLES[table][0]) if wide else TABLES[table][0]
 
 
-def conform(df: DataFrame, columns: dict[str, str], sources: dict[str, Column] | None = None) -> DataFrame:
+def conform(
+    df: DataFrame, columns: dict[str, str], sources: dict[str, Column] | None = None, wide: bool = False
+) -> DataFrame:
     """Rename, reorder and cast in one projection: ``columns`` of ``df``, or of ``sources`` where given."""
     sources = sources or {}
+    columns = widened(columns) if wide else columns
     return df.select(
         *(
             sources[name].cast(kind).alias(name) if name in sources else F.expr(f"CAST(`{name}` AS {kind}) AS `{name}`")

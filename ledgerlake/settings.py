@@ -14,6 +14,10 @@ SETTINGS = {
     # Hash instead of sort-merge join when every measured partition of the small side is below this; saves sorting
     # the wide fact.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128MB",
+    # The last day of a fact comes from its list of partitions. The sinks here leave no partition without rows.
+    "spark.sql.optimizer.metadataOnly": "true",
+    # Sizes that `tables.measure` stored count when Spark chooses joins.
+    "spark.sql.cbo.enabled": "true",
 }
 
 

@@ -1,15 +1,19 @@
-"""Catalog tables: declare, append, overwrite, replace touched partitions, bucket, view."""
+"""Catalog tables: declare, append, overwrite, replace partitions or a window of them, bucket, measure, view."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import datetime as dt
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import TABLES, ddl
+from ..functions.calendar import as_date
+from ..functions.scalars import DateLike
+from ..schemas import BUCKETED_BY, TABLES, ddl, table_columns
 
 DYNAMIC = "spark.sql.sources.partitionOverwriteMode"
 
@@ -26,9 +30,11 @@ def create_table(
     partitions: Sequence[str] = (),
     location: str | None = None,
     comment: str = "",
+    buckets: tuple[str, int] | None = None,
 ) -> None:
-    """Declare a Parquet table with Snappy compression if it does not exist."""
+    """Declare a Parquet table with Snappy compression if it does not exist; ``buckets`` is a column and a number."""
     layout = f" PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
+    layout += f" CLUSTERED BY ({buckets[0]}) INTO {buckets[1]} BUCKETS" if buckets else ""
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({ddl(columns)}) USING parquet OPTIONS ('compression'='snappy')"
@@ -36,10 +42,36 @@ def create_table(
     )
 
 
-def create_declared(spark: SparkSession, table: str, name: str, location: str | None = None) -> None:
-    """Declare one of ``schemas.TABLES`` under a catalog name."""
-    columns, partitions = TABLES[table]
-    create_table(spark, name, columns, partitions, location)
+def create_declared(
+    spark: SparkSession,
+    table: str,
+    name: str,
+    location: str | None = None,
+    wide: bool = False,
+    buckets: int | None = None,
+) -> None:
+    """Declare one of ``schemas.TABLES`` under a catalog name, bucketed if ``schemas.BUCKETED_BY`` names a column and
+    ``buckets`` a number."""
+    column = BUCKETED_BY.get(table)
+    clause = (column, buckets) if column and buckets else None
+    create_table(spark, name, table_columns(table, wide), TABLES[table][1], location, buckets=clause)
+
+
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+
+
+def buckets_of(spark: SparkSession, name: str) -> tuple[str, int] | None:
+    """Bucket column and number of buckets of a catalog table."""
+    facts = _described(spark, name)
+    number = int(facts.get("Num Buckets") or 0)
+    return (facts["Bucket Columns"].strip("[]`"), number) if number > 0 else None
+
+
+def laid_out(df: DataFrame, name: str, partitions: Sequence[str] = ()) -> DataFrame:
+    """As the table wants its files: one task for each bucket, so a partition has a file a bucket; without buckets balanced."""
+    buckets = buckets_of(df.sparkSession, name)
+    return df.repartition(buckets[1], buckets[0]) if buckets else balanced(df, partitions)
 
 
 @contextmanager
@@ -65,16 +97,23 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 def row_count(watch: Observation) -> int:
     """The number a finished write counted. Where the plan was found empty beforehand nothing was observed: no rows."""
+    return _metrics(watch).get("row_count", 0)
+
+
+def _metrics(watch: Observation) -> dict:
     try:
-        return watch.get["row_count"]
+        return watch.get
     except Py4JJavaError as error:
         if "AssertionError" not in str(error.java_exception):
             raise
-        return 0
+        return {}
 
 
 def append(df: DataFrame, name: str, partitions: Sequence[str] = ()) -> None:
-    """Append by column name."""
+    """Append by column name; a table that does not exist yet is created."""
+    if df.sparkSession.catalog.tableExists(name):
+        _in_table_order(df, name).write.mode("append").insertInto(name)
+        return
     writer = df.write.mode("append").format("parquet")
     (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(name)
 
@@ -91,6 +130,7 @@ def _in_table_order(df: DataFrame, name: str) -> DataFrame:
 
 def overwrite_rows(df: DataFrame, name: str) -> None:
     """Replace all rows, keep the declared table."""
+    df = laid_out(df, name) if buckets_of(df.sparkSession, name) else df
     _in_table_order(df, name).write.mode("overwrite").insertInto(name)
 
 
@@ -100,7 +140,74 @@ def replace_partitions(df: DataFrame, name: str, partitions: Sequence[str]) -> N
     The plan runs once. Adaptive execution sizes the files, and a failed write leaves the old partitions in place.
     """
     with _dynamic_overwrite(df.sparkSession):
-        _in_table_order(balanced(df, partitions), name).write.mode("overwrite").insertInto(name)
+        _in_table_order(laid_out(df, name, partitions), name).write.mode("overwrite").insertInto(name)
+
+
+Partition = dict[str, str | None]
+
+
+def partition_values(spark: SparkSession, name: str) -> list[Partition]:
+    """All partitions of a catalog table, from its metadata; no file is opened."""
+    parts = ([x.split("=", 1) for x in r[0].split("/")] for r in spark.sql(f"SHOW PARTITIONS {name}").collect())
+    return [{c: None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(v) for c, v in part} for part in parts]
+
+
+def between(columns: Sequence[str], start: DateLike, end: DateLike) -> Callable[[Partition], bool]:
+    """Whether a partition by (year), (year, month) or (year, month, day) touches the closed window."""
+    low, high = ((d.year, d.month, d.day)[: len(columns)] for d in (as_date(start), as_date(end)))
+
+    def inside(partition: Partition) -> bool:
+        values = [partition[c] for c in columns]
+        return None not in values and low <= tuple(int(v) for v in values) <= high
+
+    return inside
+
+
+def replace_window(df: DataFrame, name: str, partitions: Sequence[str], inside: Callable[[Partition], bool]) -> int:
+    """Make the partitions for which ``inside`` holds equal to ``df``; all others stay. Returns the number of rows.
+
+    Like ``replace_partitions``, but a partition of the window that has no rows any more goes as well. Which partitions
+    were written is observed during the write. A failure before the last step leaves old partitions, never
+    half-written ones; a rerun mends it.
+    """
+    spark = df.sparkSession
+    before = [p for p in partition_values(spark, name) if inside(p)]
+    watch = Observation()
+    touched = F.collect_set(F.struct(*(F.col(c).cast("string").alias(c) for c in partitions)))
+    watched = df.observe(watch, F.count(F.lit(1)).alias("row_count"), touched.alias("touched"))
+    replace_partitions(watched, name, partitions)
+    metrics = _metrics(watch)
+    written = {tuple(row) for row in metrics.get("touched", ())}
+    _drop_partitions(spark, name, [p for p in before if tuple(p[c] for c in partitions) not in written])
+    return metrics.get("row_count", 0)
+
+
+def _drop_partitions(spark: SparkSession, name: str, gone: Sequence[Partition]) -> None:
+    if not gone:
+        return
+
+    def spec(partition: Partition) -> str:
+        return "PARTITION (" + ", ".join(f"`{c}` = '{v}'" for c, v in partition.items()) + ")"
+
+    if _described(spark, name).get("Type") == "EXTERNAL":
+        # Dropping would leave the files of a table at a place of its own: overwrite them with nothing first.
+        rest = [c for c in spark.table(name).columns if c not in gone[0]]
+        empty = spark.createDataFrame([], spark.table(name).select(*rest).schema)
+        for partition in gone:
+            spark.sql(f"INSERT OVERWRITE TABLE {name} {spec(partition)} SELECT * FROM {{empty}}", empty=empty)
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(map(spec, gone)))
+
+
+def last_date(spark: SparkSession, name: str, columns: Sequence[str]) -> dt.date | None:
+    """Latest (year, month, day) partition, from the catalog's list."""
+    known = [[p[c] for c in columns] for p in partition_values(spark, name)]
+    return max((dt.date(*map(int, v)) for v in known if None not in v), default=None)
+
+
+def measure(spark: SparkSession, name: str, columns: Sequence[str] = ()) -> None:
+    """Store the table's size and row count, and value counts of ``columns``, for Spark's choice of joins."""
+    of = f" FOR COLUMNS {', '.join(columns)}" if columns else ""
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS{of}")
 
 
 def write_bucketed(

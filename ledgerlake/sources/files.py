@@ -68,13 +68,14 @@ def read_flat_label_object(spark: SparkSession, path: str, root: str = "target")
     """
     entry = (_HEAD + _ENTRY + _TAIL).replace("ROOT", root)
     pieces = spark.read.text(path, lineSep='",').select("value", "_metadata.file_name", "_metadata.file_path")
-    # A file that was cut off has no closing braces, two that ran together have them twice.
+    # A file that was cut off has no closing braces, two that ran together have them twice. The check is one row for all
+    # pieces, combined before its shuffle; the pieces themselves stay where they are read.
     opens = F.col("value").rlike(r'^\s*\{')
     closes = F.col("value").rlike(r"\}\s*$")
     ends = pieces.groupBy("file_path").agg(F.count_if(opens).alias("heads"), F.count_if(closes).alias("tails"))
-    broken = F.raise_error(F.concat(F.lit("not one whole object: "), F.col("file_path")))
-    whole = ends.select("file_path", F.when((F.col("heads") == 1) & (F.col("tails") == 1), True).otherwise(broken).alias("whole"))
-    pieces = pieces.join(whole, "file_path").where("whole").select("value", "file_name")
+    broken = ends.where("heads != 1 or tails != 1").agg(F.min("file_path")).scalar()
+    stop = F.raise_error(F.concat(F.lit("not one whole object: "), broken)).cast("boolean")
+    pieces = pieces.where(F.when(broken.isNull(), True).otherwise(stop)).select("value", "file_name")
     filled = pieces.where(~F.col("value").rlike(_EMPTY.replace("ROOT", root)))
     complaint = F.raise_error(F.concat(F.lit("not a plain label entry: "), F.substring("value", 1, 200)))
     return filled.select(

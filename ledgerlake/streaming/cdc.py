@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import posixpath
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..functions.scalars import as_text, json_long, json_text
-from ..schemas import BRONZE_CDC, conform
+from ..schemas import BRONZE_CDC, conform, ddl
+from ..sinks.tables import counted, row_count
 
 PARTITION = "ingestion_date"
 TRIGGER = "30 seconds"
@@ -48,6 +50,12 @@ def _place(path: str) -> str:
     return posixpath.abspath(rest) if not rest.startswith("/") else "/" + posixpath.normpath(rest).lstrip("/")
 
 
+def _keep_apart(checkpoint: str, path: str) -> None:
+    inner, outer = _place(checkpoint), _place(path)
+    if inner == outer or inner.startswith(outer + "/"):
+        raise ValueError("keep the checkpoint outside the table directory")
+
+
 def land_cdc(
     records: DataFrame,
     path: str,
@@ -61,9 +69,7 @@ def land_cdc(
     The sink's own log makes a repeated micro-batch after a failure add no rows. The checkpoint must lie outside
     ``path``. With ``table`` the files are registered in the catalog. ``once`` drains what is there and stops.
     """
-    inner, outer = _place(checkpoint), _place(path)
-    if inner == outer or inner.startswith(outer + "/"):
-        raise ValueError("keep the checkpoint outside the table directory")
+    _keep_apart(checkpoint, path)
     writer = (
         envelope(records)
         .writeStream.format("parquet")
@@ -76,6 +82,49 @@ def land_cdc(
     return writer.toTable(table) if table else writer.start()
 
 
+class BatchWriter:
+    """Writes each micro-batch to a folder of its own, ``<path>/batch_id=<n>``, replacing what a failed attempt left.
+
+    For ``foreachBatch``: Spark repeats a batch under its number until it is committed, so a repeated one adds nothing. An
+    empty batch writes nothing. ``sizes`` has the rows of each batch written by this object.
+    """
+
+    def __init__(self, path: str) -> None:
+        self.path = path
+        self.sizes: dict[int, int] = {}
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            self.sizes[batch_id] = 0
+            return
+        watched, watch = counted(batch)
+        watched.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        self.sizes[batch_id] = row_count(watch)
+
+
+def land_batches(
+    records: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    path: str,
+    checkpoint: str,
+    once: bool = False,
+    every: str = TRIGGER,
+) -> StreamingQuery:
+    """Land the stream batch by batch through a ``BatchWriter(path)``, with sizes reported and replays that add no rows;
+    read it back by ``landed_batches``.
+
+    The folder belongs to the checkpoint: batches count from zero again with a new one, so give that a new folder too.
+    """
+    _keep_apart(checkpoint, path)
+    writer = envelope(records).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
+
+
+def landed_batches(spark: SparkSession, path: str) -> DataFrame:
+    """All landed rows with their ``batch_id``."""
+    return spark.read.schema(f"{ddl(BRONZE_CDC)}, batch_id bigint").parquet(path)
+
+
 class LandedRows(StreamingQueryListener):
     """Counts the input rows of every micro-batch, however long a run lasts. Register it before the stream starts:
     ``spark.streams.addListener(LandedRows())``."""

@@ -1,7 +1,8 @@
-"""Folder for intermediate tables."""
+"""Folder and catalog names for intermediate tables."""
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,3 +20,14 @@ def shared_folder(spark: SparkSession) -> str:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return folder
+
+
+def drop_at_end(spark: SparkSession, *objects: str) -> None:
+    """Drop catalog objects (``TABLE name`` or ``VIEW name``) when Python ends, if the session still runs then."""
+
+    def drop() -> None:
+        if spark._jsc is not None and not spark._jsc.sc().isStopped():
+            for each in objects:
+                spark.sql(f"DROP {each.replace(' ', ' IF EXISTS ', 1)}")
+
+    atexit.register(drop)

@@ -8,15 +8,16 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
+from ledgerlake.settings import configured
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master(f"local[{os.environ.get('BENCH_CPUS', '8')}]")
+        configured(SparkSession.builder.master(f"local[{os.environ.get('BENCH_CPUS', '8')}]"))
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))

@@ -1,0 +1,400 @@
+"""Jobs that change only what they must: merged versions, replaced windows, the run ledger, replayed micro-batches."""
+
+import datetime as dt
+import itertools
+import random
+from collections import Counter
+
+import pytest
+
+from ledgerlake import jobs
+from ledgerlake.functions.calendar import fixed_windows
+from ledgerlake.jobs import Lakehouse, merge_load, with_place
+from ledgerlake.operators.bitmaps import distinct_bitmaps, merged_counts
+from ledgerlake.operators.reconcile import differing_rows, reconcile, window_digests
+from ledgerlake.operators.versions import close_versions, merge_versions
+from ledgerlake.plans import ledger
+from ledgerlake.schemas import BRONZE_USERS, ddl
+from ledgerlake.sinks import tables
+from ledgerlake.streaming.cdc import BatchWriter, land_batches, landed_batches
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+DAY = dt.datetime(2020, 1, 1)
+SCHEMA = "id int, name string, load_at timestamp"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def bag(df):
+    return Counter(map(tuple, df.collect()))
+
+
+# ------------------------------------------------------------------ versions
+
+
+def load_rows(seed, day):
+    rng = random.Random(100 * seed + day)
+    rows = [(rng.choice([None, 1, 2, 3, 4, 5]), rng.choice("ab") if rng.random() < 0.8 else None, DAY + dt.timedelta(day)) for _ in range(12)]
+    return rows + rows[:2]  # identical copies
+
+
+@pytest.mark.parametrize("order", list(itertools.permutations(range(3))))
+def test_merging_loads_in_any_order_equals_one_rebuild(spark, order):
+    loads = {day: spark.createDataFrame(load_rows(1, day), SCHEMA) for day in range(3)}
+    whole = loads[0].unionByName(loads[1]).unionByName(loads[2])
+    stored = close_versions(spark.createDataFrame([], SCHEMA), "id", "load_at")
+    for day in order:
+        stored = spark.createDataFrame(merge_versions(stored, loads[day], "id", "load_at").collect(), stored.schema)
+    assert bag(stored) == bag(close_versions(whole, "id", "load_at"))
+    again = merge_versions(stored, loads[order[0]], "id", "load_at")
+    assert bag(again) == bag(stored)
+
+
+def test_merging_rows_without_load_time(spark):
+    known, unknown = spark.createDataFrame(load_rows(2, 0), SCHEMA), spark.createDataFrame([(1, "n", None), (2, "n", None)], SCHEMA)
+    stored = spark.createDataFrame(close_versions(known, "id", "load_at").collect(), close_versions(known, "id", "load_at").schema)
+    merged = merge_versions(stored, unknown, "id", "load_at")
+    assert bag(merged) == bag(close_versions(known.unionByName(unknown), "id", "load_at"))
+
+
+def test_versions_are_closed_in_one_scan(spark, tmp_path):
+    spark.createDataFrame(load_rows(1, 0), SCHEMA).write.parquet(str(tmp_path / "t"))
+    df = close_versions(spark.read.parquet(str(tmp_path / "t")), "id", "load_at")
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # each read of the collapsed rows but the first is a reused shuffle
+    assert final.count("FileScan") - final.count("ReusedExchange") <= 1
+
+
+def user_load(spark, keys, day, name):
+    rows = spark.createDataFrame([(k, f"{name}{k}", DAY + dt.timedelta(day)) for k in keys], "id int, address string, load_at timestamp")
+    nothing = {c: F.lit(None).cast(kind) for c, kind in BRONZE_USERS.items() if c not in rows.columns}
+    return rows.withColumns(nothing).select(*BRONZE_USERS)
+
+
+def files_of(spark, name):
+    """Partition -> its files."""
+    rows = spark.table(name).select("closed", "key_bucket", "_metadata.file_path").distinct().collect()
+    out = {}
+    for r in rows:
+        out.setdefault((r.closed, r.key_bucket), set()).add(r.file_path)
+    return out
+
+
+@pytest.fixture
+def versions_table(spark, tmp_path):
+    name = "t_user_versions"
+    tables.create_declared(spark, "silver.user_versions", name, str(tmp_path / "versions"))
+    yield name
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_load_touches_only_the_partitions_it_can_change(spark, versions_table):
+    name = versions_table
+    loads = [user_load(spark, range(200), 0, "a"), user_load(spark, range(100), 1, "b")]
+    for load in loads:
+        merge_load(spark, name, load)
+    before = files_of(spark, name)
+    loads.append(user_load(spark, [7], 2, "c"))
+    written = merge_load(spark, name, loads[-1])
+    after = files_of(spark, name)
+    changed = {p for p in before.keys() | after.keys() if before.get(p) != after.get(p)}
+    bucket = with_place(close_versions(loads[-1], "id", "load_at")).first().key_bucket
+    # the open versions of one bucket, and what this load closed
+    assert changed == {("open", bucket), ("2020-01-03", bucket)}
+    assert written < 40
+    stored = spark.table(name).where((F.col("key_bucket") == bucket) & ((F.col("closed") == "open") | (F.col("closed") >= "2020-01-03")))
+    scans = [line for line in plan_of(stored).split("\n") if "FileScan" in line]
+    assert all("PartitionFilters: [" in line and "key_bucket" in line.split("PartitionFilters")[1] for line in scans)
+    # a late load, and a repeated one
+    loads.insert(0, user_load(spark, [3, 7, 300], -5, "z"))
+    merge_load(spark, name, loads[0])
+    merge_load(spark, name, loads[-1])
+    whole = loads[0]
+    for load in loads[1:]:
+        whole = whole.unionByName(load)
+    kept = spark.table(name)
+    assert bag(kept.select("id", "address", "valid_from", "valid_to", "is_current", "version_key")) == bag(
+        close_versions(whole, "id", "load_at").select("id", "address", "valid_from", "valid_to", "is_current", "version_key")
+    )
+    assert merge_load(spark, name, loads[0].limit(0)) == 0
+
+
+# ------------------------------------------------------------------ windows
+
+
+@pytest.mark.parametrize("external", [False, True])
+def test_partitions_of_the_window_without_rows_go(spark, tmp_path, external):
+    name = f"t_window_{'external' if external else 'managed'}"
+    columns = {"v": "int", "year": "int", "month": "int"}
+    tables.create_table(spark, name, columns, ["year", "month"], str(tmp_path / "w") if external else None)
+    try:
+        rows = spark.createDataFrame([(1, 2019, 12), (2, 2020, 1), (3, 2020, 2), (4, 2020, 2), (5, 2020, 3), (6, None, 1)], ddl(columns))
+        places = ["year", "month"]
+        tables.replace_partitions(rows, name, places)
+        window = tables.between(places, "2020-01-01", "2020-02-29")
+        again = spark.createDataFrame([(20, 2020, 1)], ddl(columns))
+        assert tables.replace_window(again, name, places, window) == 1
+        assert bag(spark.table(name)) == Counter([(1, 2019, 12), (20, 2020, 1), (5, 2020, 3), (6, None, 1)])
+        assert tables.replace_window(again.limit(0), name, places, window) == 0
+        assert bag(spark.table(name)) == Counter([(1, 2019, 12), (5, 2020, 3), (6, None, 1)])
+        assert not any(window(p) for p in tables.partition_values(spark, name))
+        if external:
+            assert bag(spark.read.schema(ddl(columns)).parquet(str(tmp_path / "w"))) == bag(spark.table(name))
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.fixture
+def house(spark, tmp_path):
+    house = Lakehouse(spark, "i_bronze", "i_silver", "i_gold", str(tmp_path / "house"), wide=True, buckets=8)
+    house.prepare()
+    yield house
+    for name in (house.gold, house.silver, house.bronze):
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+BIG = 1 << 33
+
+
+def transactions(spark, days):
+    """One transaction a day, ids beyond 32 bits."""
+    rows = spark.createDataFrame([(k, dt.datetime(2020, 1, 1, 5) + dt.timedelta(d)) for k, d in enumerate(days)], "k long, date_time timestamp")
+    wide = F.col("k") + F.lit(BIG)
+    return rows.select(
+        wide.alias("id"), "date_time", F.to_date("date_time").alias("date"), (F.lit(BIG) + F.col("k") % 5).alias("client_id"), (F.lit(BIG) + F.col("k") % 3).alias("card_id"),
+        F.lit("$7.50").alias("amount"), F.lit("Yes").alias("use_chip"), (F.lit(BIG) + F.col("k") % 2).alias("merchant_id"), F.lit("x").alias("merchant_city"),
+        F.lit("y").alias("merchant_state"), F.lit("1").alias("zip"), F.lit(5000).alias("mcc"), F.lit(None).cast("string").alias("errors"),
+    )
+
+
+def test_ids_beyond_32_bits_and_reruns_without_a_month(spark, house, tmp_path):
+    users = user_load(spark, range(5), 0, "u").drop("load_at").withColumn("id", F.col("id").cast("long") + BIG)
+    assert house.ingest("users", users) == 5
+    (tmp_path / "labels.json").write_text('{"target": {%s}}' % ", ".join(f'"{BIG + k}": "{"YES" if k % 2 else "No"}"' for k in range(91)))
+    (tmp_path / "mcc.json").write_text('{"5000": "things"}')
+    assert house.ingest_labels(str(tmp_path / "labels.json")) == 91 and house.ingest_mcc(str(tmp_path / "mcc.json")) == 1
+    house.build_users("2020-06-01")
+    house.build_cards("2020-06-01")
+    quarter = ("2020-01-01", "2020-03-31")
+
+    def build(days):
+        spark.sql(f"TRUNCATE TABLE {house.name('bronze.transactions')}")
+        house.ingest("transactions", transactions(spark, days))
+        house.build_transactions(*quarter)
+        house.build_detail(*quarter)
+        house.build_market(*quarter)
+        house.build_merchants(*quarter)
+        house.build_user_detail("2020-06-01")
+
+    clock = ("updated_at", "created_at", "load_at")
+    windowed = ["silver.transactions", "gold.transaction_detail", "gold.client_months", "gold.merchant_client_months", "gold.daily_actives",
+                "gold.market_daily_summary", "gold.merchant_monthly_performance"]
+    build(range(91))
+    fact = house.read("gold.transaction_detail")
+    assert fact.count() == 91 and fact.where(f"transaction_id >= {BIG} and client_id >= {BIG} and merchant_id >= {BIG}").count() == 91
+    assert fact.where("is_fraud").count() == 45 and fact.where("client_key is not null").count() == 91
+    assert {r.state for r in house.reconcile(*quarter).select(F.col("gold_state").alias("state")).collect()} == {"same"}
+    # without February, nothing of it is left anywhere
+    rest = [d for d in range(91) if not 31 <= d < 60]
+    build(rest)
+    left = {t: bag(house.read(t).drop(*clock)) for t in windowed}
+    assert all(all(p.get("month", p.get("txn_month")) != "2" for p in tables.partition_values(spark, house.name(t))) for t in windowed)
+    for t in windowed:
+        spark.sql(f"TRUNCATE TABLE {house.name(t)}")
+    build(rest)
+    assert {t: bag(house.read(t).drop(*clock)) for t in windowed} == left
+    assert dict(house.read("silver.transactions").dtypes)["merchant_id"] == "bigint"
+
+
+def test_labels_are_joined_where_they_lie(spark, house):
+    """Neither the labels nor the facts in equal buckets pass an exchange for their join."""
+    from ledgerlake.plans.detail import transaction_detail
+
+    tables_ = ("silver.transactions", "silver.users", "silver.cards", "bronze.mcc_codes", "bronze.train_fraud_labels")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = transaction_detail(*map(house.read, tables_), "2020-01-01", "2020-03-31")._jdf.queryExecution().executedPlan()
+        lines = plan.toString().split("\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    label = next(i for i, line in enumerate(lines) if "FileScan" in line and "train_fraud_labels" in line)
+    assert "Bucketed: true" in lines[label]
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*(0123456789)"))
+    # from the scan up to its join there is no exchange
+    above = []
+    for line in reversed(lines[:label]):
+        if depth(line) < depth(lines[label]) and (not above or depth(line) < depth(above[-1])):
+            above.append(line)
+            if "Join" in line:
+                break
+    assert "Join" in above[-1] and not any("Exchange" in line for line in above)
+
+
+def test_measured_tables_change_the_join(spark, tmp_path):
+    """Once value counts are stored, Spark knows that few rows are left by a filter and broadcasts them."""
+    spark.range(200_000).selectExpr("id k", "id v").write.saveAsTable("t_big")
+    spark.range(200_000).selectExpr("id k", "id % 50000 flag", "repeat('x', 20) t").write.saveAsTable("t_small")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        joined = lambda: plan_of(spark.table("t_big").join(spark.table("t_small").where("flag = 3"), "k"))
+        assert "BroadcastHashJoin" not in joined()
+        tables.measure(spark, "t_small", ["k", "flag"])
+        assert "BroadcastHashJoin" in joined()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        spark.sql("DROP TABLE t_big")
+        spark.sql("DROP TABLE t_small")
+
+
+def test_last_day_opens_no_file(spark, tmp_path):
+    from ledgerlake.plans.latest import create_latest_day_view
+
+    name = "t_days"
+    columns = {"transaction_id": "bigint", "card_brand": "string", "card_type": "string", "txn_use_chip": "boolean", "txn_amount": "decimal(18,4)",
+               "txn_date_time": "timestamp", "txn_year": "int", "txn_month": "int", "txn_day": "int"}
+    places = ["txn_year", "txn_month", "txn_day"]
+    tables.create_table(spark, name, columns, places)
+    try:
+        assert tables.last_date(spark, name, places) is None
+        at = F.col("txn_date_time")
+        rows = spark.range(40).select("id", (F.lit(dt.datetime(2020, 1, 1)) + F.make_dt_interval(F.col("id").cast("int"))).alias("txn_date_time"))
+        rows = rows.select(
+            F.col("id").alias("transaction_id"), F.lit("a").alias("card_brand"), F.lit("b").alias("card_type"), F.lit(True).alias("txn_use_chip"),
+            F.lit(1).cast("decimal(18,4)").alias("txn_amount"), at, F.year(at).alias("txn_year"), F.month(at).alias("txn_month"), F.dayofmonth(at).alias("txn_day"),
+        )
+        tables.replace_partitions(rows, name, places)
+        assert tables.last_date(spark, name, places) == dt.date(2020, 2, 9)
+        create_latest_day_view(spark, "v_days", name)
+        view = spark.table("v_days")
+        assert [(r.txn_date, r.total_txn) for r in view.collect()] == [(dt.date(2020, 2, 9), 1)]
+        lines = plan_of(view.sparkSession.table("v_days")).split("\n")
+        scans = [line for line in lines if "FileScan" in line]
+        # the only scan is that of the day; the subqueries read the list of partitions
+        assert len({line.split("Location")[1] for line in scans}) == 1 and all("total" not in line and "txn_amount" in line for line in scans)
+        assert any("LocalTableScan" in line for line in lines)
+    finally:
+        spark.sql("DROP VIEW IF EXISTS v_days")
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_failed_window_is_taken_up_again(spark, house):
+    bounds = spark.createDataFrame([(dt.date(2020, 1, 1), dt.date(2020, 1, 30))], "start_date date, end_date date")
+    windows, built, poison = fixed_windows(bounds, 7), [], {dt.date(2020, 1, 8)}
+
+    def build(start, end):
+        built.append(start)
+        if start in poison:
+            raise ValueError("poisoned")
+        return (end - start).days + 1
+
+    state = {r.window_start: r for r in house.run_windows("count", build, windows).collect()}
+    assert [state[d].state for d in sorted(state)] == ["done", "failed", "done", "done", "done"]
+    assert state[dt.date(2020, 1, 8)].message == "poisoned" and state[dt.date(2020, 1, 29)].row_count == 2
+    built.clear()
+    poison.clear()
+    state = {r.window_start: r for r in house.run_windows("count", build, windows).collect()}
+    assert built == [dt.date(2020, 1, 8)]
+    assert {r.state for r in state.values()} == {"done"} and state[dt.date(2020, 1, 8)].attempts == 2
+    assert ledger.pending(windows, house.read("gold.run_ledger"), "count").isEmpty()
+    assert ledger.pending(windows, house.read("gold.run_ledger"), "other").count() == 5
+
+
+def test_jdbc_and_topics_reach_the_jobs(spark, house, monkeypatch):
+    asked = []
+    monkeypatch.setattr(jobs, "measured_split", lambda *a: asked.append(a[1:]) or "split")
+    rows = user_load(spark, range(3), 0, "u").drop("load_at")
+    monkeypatch.setattr(jobs, "read_jdbc", lambda *a: asked.append(a[1:]) or rows)
+    assert house.ingest_jdbc("users", "jdbc:x", {"user": "u"}, "public.users", parts=4) == 3
+    assert asked == [("jdbc:x", "public.users", {"user": "u"}, "id", 4), ("jdbc:x", "public.users", {"user": "u"}, "split")]
+    monkeypatch.setattr(jobs, "read_topic", lambda spark, *a: a)
+    monkeypatch.setattr(Lakehouse, "land", lambda self, *a: a)
+    assert house.land_topic("users", "server:1", "topic", "/at") == ("users", ("server:1", "topic"), "/at", False)
+
+
+# ------------------------------------------------------------------ micro-batches
+
+TOPIC = "key binary, value binary, offset bigint, timestamp timestamp"
+
+
+def test_replayed_batches_add_nothing(spark, tmp_path):
+    for k in range(3):
+        spark.createDataFrame([(b"k", b'{"op": "c", "ts_ms": 5}', 10 * k + i, DAY) for i in range(k + 1)], TOPIC).coalesce(1).write.mode("append").parquet(str(tmp_path / "topic"))
+    write, calls = BatchWriter(str(tmp_path / "landed")), []
+
+    def failing(batch, batch_id):
+        calls.append(batch_id)
+        write(batch, batch_id)
+        if batch_id == 1 and calls.count(1) == 1:
+            raise RuntimeError("after writing")
+
+    def run():
+        rows = spark.readStream.schema(TOPIC).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "topic"))
+        land_batches(rows, failing, write.path, str(tmp_path / "at"), once=True).awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        run()
+    run()
+    landed = landed_batches(spark, write.path)
+    assert calls.count(1) == 2 and landed.count() == sum(write.sizes.values()) == 6
+    assert sorted(r.kafka_offset for r in landed.collect()) == [0, 10, 11, 20, 21, 22]
+    # a repeated batch replaces itself, an empty one leaves nothing behind
+    one = landed.where("batch_id = 2").drop("batch_id")
+    write(spark.createDataFrame(one.collect(), one.schema), 2)
+    write(one.limit(0), 9)
+    assert landed_batches(spark, write.path).count() == 6 and write.sizes[9] == 0 and not (tmp_path / "landed" / "batch_id=9").exists()
+    with pytest.raises(ValueError, match="outside"):
+        land_batches(None, write, write.path, f"{write.path}/at")
+
+
+# ------------------------------------------------------------------ bitmaps and digests
+
+
+def test_merged_bitmaps_equal_distinct_counts(spark, tmp_path):
+    rng = random.Random(4)
+    values = [0, -1, -32768, 32768, 1 << 40, -(1 << 40), *range(50)]
+    rows = [(dt.date(2020, rng.randint(1, 4), rng.randint(1, 28)), rng.choice([*values, None]), rng.randint(0, 9)) for _ in range(600)]
+    rows += [(dt.date(2020, 5, 1), None, None)]
+    df = spark.createDataFrame(rows, "day date, a long, b int")
+    distinct_bitmaps(df, {"day": F.col("day")}, {"n_a": "a", "n_b": "b"}).write.parquet(str(tmp_path / "kept"))
+    kept = spark.read.parquet(str(tmp_path / "kept"))
+    for period in ("month", "year"):
+        got = merged_counts(kept, {"period": F.trunc("day", period)}, ["n_a", "n_b"])
+        want = df.groupBy(F.trunc("day", period).alias("period")).agg(F.count_distinct("a").alias("n_a"), F.count_distinct("b").alias("n_b"))
+        assert bag(got) == bag(want.where("n_a > 0 or n_b > 0"))
+        scans = [line for line in plan_of(got).split("Initial Plan")[0].split("\n") if "FileScan" in line]
+        assert len(scans) == 1 and "kept" in scans[0]
+    whole = merged_counts(kept, {}, ["n_a", "n_b"])
+    assert bag(whole) == bag(df.agg(F.count_distinct("a"), F.count_distinct("b")))
+
+
+def test_lost_doubled_and_changed_rows_are_named(spark):
+    rows = [(k, dt.date(2020, 1 + k % 4, 1), None if k % 3 else k) for k in range(40)]
+    schema = "id int, day date, v int"
+    bronze = spark.createDataFrame(rows, schema)
+    lost = [r for r in rows if r[0] != 4]  # month 1
+    doubled = [*lost, rows[9]]  # month 2
+    changed = [(k, d, 99 if k == 6 else v) for k, d, v in doubled]  # month 3
+    gold = spark.createDataFrame(changed, schema)
+    digests = {n: window_digests(df, F.col("day"), ["id", "v"]) for n, df in (("bronze", bronze), ("gold", gold))}
+    got = {r.window.month: (r.bronze_rows, r.gold_rows, r.gold_state) for r in reconcile(digests).collect()}
+    assert got == {1: (10, 9, "lost"), 2: (10, 11, "doubled"), 3: (10, 10, "changed"), 4: (10, 10, "same")}
+    named = bag(differing_rows(bronze, gold, ["id", "v"]))
+    assert named == Counter([(4, None, 1, 0), (9, 9, 1, 2), (6, 6, 1, 0), (6, 99, 0, 1)])
+    # the digest does not depend on the order or the number of tasks
+    assert bag(window_digests(gold.repartition(7), F.col("day"), ["id", "v"])) == bag(digests["gold"])
+
+
+def test_label_pieces_are_not_shuffled(spark, tmp_path):
+    from ledgerlake.sources.files import read_flat_label_object
+
+    (tmp_path / "l.json").write_text('{"target": {"1": "No", "2": "YES"}}')
+    df = read_flat_label_object(spark, str(tmp_path / "l.json"))
+    assert df.count() == 2
+    main = plan_of(df).split("Subquery")[0]
+    assert "Exchange" not in main and "Join" not in main

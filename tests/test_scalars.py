@@ -130,7 +130,7 @@ def test_surrogate_key_is_stable(spark):
 
 @pytest.mark.parametrize("name", ["total_txn", "total_txn_pos", "prev_1d_cnt", "error_txn_cnt"])
 def test_count_columns(name):
-    from ledgerlake.schemas import is_count, wide_counts
+    from ledgerlake.schemas import is_count, widened
 
     assert is_count(name) and not is_count("total_txn_amt") and not is_count("peak_hour")
-    assert wide_counts({name: "int", "peak_hour": "int"}) == {name: "bigint", "peak_hour": "int"}
+    assert widened({name: "int", "peak_hour": "int"}) == {name: "bigint", "peak_hour": "int"}
