@@ -16,9 +16,11 @@ from ledgerlake.llm.text import pieces, raw
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder below the one that driver and executors share, removed when the session's JVM ends. The checkpoint
-    folder must be set."""
-    folder = f"{spark.sparkContext.getCheckpointDir()}/blocks-{uuid.uuid4().hex}"
+    """A new folder below the one that driver and executors share, removed when the session's JVM ends: the checkpoint
+    folder, or one below the warehouse where none is set."""
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+    folder = f"{base.rstrip('/')}/blocks-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return folder

@@ -19,14 +19,15 @@ import numpy as np
 
 
 def _stable_order(codes: np.ndarray) -> np.ndarray:
-    """Stable order of whole numbers; two counting sorts where they don't fit 16 bits."""
-    if not len(codes) or int(codes.max()) < 1 << 16:
-        return np.argsort(codes.astype(np.uint16), kind="stable")
-    low = np.argsort((codes & 0xFFFF).astype(np.uint16), kind="stable")
-    high = (codes >> 16).astype(np.uint32)[low]
-    if int(high.max()) < 1 << 16:
-        return low[np.argsort(high.astype(np.uint16), kind="stable")]
-    return low[np.argsort(high, kind="stable")]
+    """Stable order of whole numbers; two counting sorts where they are wider than 16 bits."""
+    if codes.dtype == np.uint16:
+        return np.argsort(codes, kind="stable")
+    low = np.argsort(codes.astype(np.uint16), kind="stable")
+    return low[np.argsort((codes >> 16).astype(np.uint16)[low], kind="stable")]
+
+
+def _narrow(values: np.ndarray, most: int) -> np.ndarray:
+    return values.astype(np.uint16 if most < 1 << 16 else np.int32)
 
 
 def _induced(places: np.ndarray, depth: np.ndarray, codes: np.ndarray, by_end: np.ndarray) -> np.ndarray:
@@ -39,7 +40,8 @@ def _induced(places: np.ndarray, depth: np.ndarray, codes: np.ndarray, by_end: n
         # runs that end here join those that go on, which are in order by the rest; then the symbol at this depth decides
         ending = places[by_depth[cuts[d] : cuts[d + 1]]]
         if len(ending):
-            order = np.concatenate([ending[_stable_order(by_end[ending + d])], order])
+            ending = ending[_stable_order(by_end[ending + d])]
+            order = np.concatenate([ending, order]) if len(order) else ending
         order = order[_stable_order(codes[order + d])]
     return order
 
@@ -49,45 +51,41 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     n = len(symbols)
     if n <= 1:
         return np.arange(n, dtype=np.int32)
-    symbols = symbols.astype(np.int32)
     at = np.arange(n, dtype=np.int32)
+    is_end = symbols == 0
     # a suffix is smaller if the next different symbol is greater; an end is smaller than all
-    differs = np.append(symbols[1:] != symbols[:-1], True)
-    nxt = np.flatnonzero(differs)[np.cumsum(np.concatenate([[0], differs[:-1]]))]
-    smaller = np.zeros(n, dtype=bool)
-    smaller[:-1] = symbols[np.minimum(nxt + 1, n - 1)][:-1] > symbols[:-1]
-    smaller[symbols == 0] = True
-    lms = smaller & np.concatenate([[False], ~smaller[:-1]])
-    lms |= symbols == 0  # an end begins a piece of its own, also where texts are empty
-    codes = symbols * 2 + smaller
+    last = np.flatnonzero(np.append(symbols[1:] != symbols[:-1], True))
+    smaller = np.repeat(np.append(symbols[last[:-1] + 1] > symbols[last[:-1]], True), np.diff(last, prepend=-1))
+    smaller |= is_end
+    turns = np.empty(n, dtype=bool)
+    turns[0], turns[1:] = True, smaller[1:] != smaller[:-1]
+    lms = smaller & turns
+    lms[0] = False
+    lms |= is_end  # an end begins a piece of its own, also where texts are empty
+    codes = _narrow(symbols.astype(np.int32) * 2 + smaller, 2 * int(symbols.max()) + 1)
 
     # how far the run of a suffix's kind goes: L runs end at an S suffix, S runs at an L one or at an end
-    border = lms | np.concatenate([[True], smaller[1:] != smaller[:-1]])
-    begins = np.flatnonzero(border)
+    begins = np.flatnonzero(turns | lms)
     ends = np.append(begins[1:], n)
-    depth = (ends[np.cumsum(border) - 1] - at).astype(np.int32)
+    depth = np.repeat(ends.astype(np.int32), ends - begins) - at
     larger = at[~smaller]
-    inner = at[smaller & (symbols != 0)]  # S suffixes but for the ends
-    is_end = symbols == 0
+    inner = at[smaller & ~is_end]  # S suffixes but for the ends
+    depth_larger, depth_inner = depth[larger], depth[inner]
+    where, n_ends = at[lms], int(is_end.sum())
+    ends_lms = is_end[where]
 
-    def induce(rank: np.ndarray) -> np.ndarray:
-        """All suffixes in order, from the ranks of the LMS ones."""
-        by_l = _induced(larger, depth[larger], codes, rank)
-        rank_l = np.zeros(n, np.int32)
-        rank_l[by_l] = np.arange(len(by_l), dtype=np.int32)
-        by_s = _induced(inner, depth[inner], codes, rank_l)
-        first = at[is_end][np.argsort(rank[is_end], kind="stable")]
-        rest = np.concatenate([by_l, by_s])
-        return np.concatenate([first, rest[_stable_order(codes[rest])]])
-
-    # 1. sort LMS substrings: an LMS suffix stands for its first symbol only
     rank = np.zeros(n, np.int32)
-    where = at[lms]
-    n_ends = int(is_end.sum())
+    rank_l = np.zeros(n, np.int32)
+
+    # 1. sort LMS substrings, of which an S run, an L run and the symbol behind are all there is: the L runs first, by
+    # that symbol, then the LMS places by their S runs and the order of the L runs behind
     rank[is_end] = np.arange(n_ends, dtype=np.int32)
-    rank[where[~is_end[where]]] = n_ends + symbols[where[~is_end[where]]]
-    order = induce(rank)
-    order = order[lms[order]]
+    rank[where[~ends_lms]] = n_ends + symbols[where[~ends_lms]]
+    l_starts = larger[turns[larger]]
+    by_l = _induced(l_starts, depth[l_starts], codes, rank)
+    rank_l[by_l] = np.arange(len(by_l), dtype=np.int32)
+    s_starts = where[~ends_lms]
+    order = np.concatenate([at[is_end], _induced(s_starts, depth[s_starts], codes, rank_l)])
 
     # 2. name them: equal ones, symbol by symbol up to the next LMS place, get one name
     nth = np.cumsum(lms) - 1
@@ -96,14 +94,13 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     la, lb = length[nth[a]], length[nth[b]]
     same = (la == lb) & ~is_end[a] & ~is_end[b]
     left = np.flatnonzero(same)
-    step = 0
+    pa, pb, to_go = a[left], b[left], la[left]
     while len(left):
-        equal = codes[a[left] + step] == codes[b[left] + step]
+        equal = codes[pa] == codes[pb]
         same[left[~equal]] = False
-        left = left[equal]
-        step += 1
         # the last symbol is the next LMS place, whose own text end tells ends apart
-        left = left[la[left] >= step]
+        on = np.flatnonzero(equal & (to_go > 0))
+        left, pa, pb, to_go = left[on], pa[on] + 1, pb[on] + 1, to_go[on] - 1
     # substrings that end at ends of texts are the same up to there; the ends' own names tell them apart
     names = np.zeros(len(order), np.int32)
     names[1:] = np.cumsum(~same)
@@ -115,7 +112,10 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
         order = where[final]
     rank[order] = np.arange(len(order), dtype=np.int32)
     # 4. induce all from it
-    return induce(rank)
+    by_l = _induced(larger, depth_larger, codes, rank)
+    rank_l[by_l] = np.arange(len(by_l), dtype=np.int32)
+    rest = np.concatenate([by_l, _induced(inner, depth_inner, codes, rank_l)])
+    return np.concatenate([at[is_end], rest[_stable_order(codes[rest])]])
 
 
 def _names_order(string: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -130,20 +130,44 @@ def permuted_prefixes(symbols: np.ndarray, order: np.ndarray) -> np.ndarray:
     Where the symbols before both agree, the value is one less than that of the place before; only the others are
     compared, symbol by symbol."""
     n = len(symbols)
-    before = np.full(n, -1, dtype=np.int64)
+    before = np.full(n, -1, dtype=np.int32)
     before[order[1:]] = order[:-1]
-    known = before >= 0
     follows = np.zeros(n, dtype=bool)
-    at = np.flatnonzero(known[1:]) + 1
-    at = at[before[at] > 0]
-    follows[at] = (symbols[at - 1] == symbols[before[at] - 1]) & (symbols[at - 1] != 0)
+    at = np.flatnonzero(before[1:] > 0) + 1
+    ahead = symbols[at - 1]
+    follows[at] = (ahead == symbols[before[at] - 1]) & (ahead != 0)
     common = np.zeros(n, dtype=np.int32)
-    left = np.flatnonzero(known & ~follows)
-    step = 0
+    left = np.flatnonzero((before >= 0) & ~follows)
+    to_end = np.flatnonzero(symbols == 0).astype(np.int32)
+    to_end = np.repeat(to_end, np.diff(to_end, prepend=-1)) - np.arange(n, dtype=np.int32)
+    other = before[left]
+    common[left] = _common(symbols, left, other, np.minimum(to_end[left], to_end[other]))
+    start = np.maximum.accumulate(np.where(follows, 0, np.arange(n, dtype=np.int32)))
+    return common[start] - (np.arange(n, dtype=np.int32) - start)
+
+
+def _common(symbols: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """How many symbols, `most` at most, are equal from places a and b on; eight at a time where symbols fit a byte."""
+    out = np.zeros(len(a), dtype=np.int32)
+    left, k = np.arange(len(a)), 8 if int(symbols.max(initial=0)) < 256 else 1
+    if k == 8:
+        held = np.zeros(len(symbols) + 16, np.uint8)
+        held[: len(symbols)] = symbols
+        words = np.empty(len(symbols) + 8, np.uint64)
+        for r in range(8):
+            words[r::8] = np.frombuffer(held[r : r + 8 * len(words[r::8])].tobytes(), "<u8")
+    else:
+        words = symbols
     while len(left):
-        equal = (symbols[np.minimum(left + step, n - 1)] == symbols[np.minimum(before[left] + step, n - 1)]) & (symbols[np.minimum(left + step, n - 1)] != 0)
-        left = left[equal]
-        common[left] += 1
-        step += 1
-    start = np.maximum.accumulate(np.where(follows, 0, np.arange(n)))
-    return np.where(follows, common[start] - (np.arange(n) - start), common).astype(np.int32)
+        x = words[a] ^ words[b]
+        full = x == 0
+        if k == 8:
+            part = np.flatnonzero(~full)
+            # the lowest byte that differs ends the common part
+            low = x[part] & (~x[part] + np.uint64(1))
+            out[left[part]] += (np.log2(low.astype(np.float64)).astype(np.int32)) >> 3
+        on = np.flatnonzero(full)
+        out[left[on]] += k
+        on = on[out[left[on]] < most[left[on]]]
+        left, a, b = left[on], a[on] + k, b[on] + k
+    return np.minimum(out, most)

@@ -37,9 +37,10 @@ from ledgerlake.llm.suffix_arrays import permuted_prefixes, suffix_array
 from ledgerlake.llm.text import mix, runs
 
 LENGTH, GRAM = 50, 24
-BLOCK_BYTES, SHARD_BYTES, HOT_BLOCKS = 5 << 19, 3 << 19, 1000
+BLOCK_BYTES, SHARD_BYTES, HOT_BLOCKS = 1 << 20, 1 << 19, 1000
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _HIGH = np.uint64(0xFFFFFFFF00000000)
+_CHUNK = 1 << 15
 #: Stands for an unknown id: none is greater.
 _NO_ID = np.iinfo(np.int64).max
 
@@ -47,14 +48,17 @@ _NO_ID = np.iinfo(np.int64).max
 def gram_hashes(data: bytes) -> np.ndarray:
     """A 64-bit hash of the GRAM bytes from each place on, zeros behind the end."""
     n = len(data)
-    padded = np.zeros(n + 32, np.uint8)
+    padded = np.zeros(n + 40, np.uint8)
     padded[:n] = np.frombuffer(data, np.uint8)
-    words = np.empty(n + 16, np.uint64)
-    for r in range(8):
-        m = len(words[r::8])
-        words[r::8] = np.frombuffer(padded[r : r + 8 * m].tobytes(), "<u8")
-    words ^= words >> np.uint64(32)
-    return mix(words[:n] * _A + words[8 : n + 8] * _B + words[16 : n + 16] * _C)
+    out = np.empty(n, np.uint64)
+    for begin in range(0, n, _CHUNK):  # small enough for the processor's cache
+        m = min(_CHUNK, n - begin)
+        words = np.empty(m + 16, np.uint64)
+        for r in range(8):
+            words[r::8] = padded[begin + r : begin + r + 8 * len(words[r::8])].view("<u8")
+        words ^= words >> np.uint64(32)
+        out[begin : begin + m] = mix(words[:m] * _A + words[8 : m + 8] * _B + words[16 : m + 16] * _C)
+    return out
 
 
 @dataclass
@@ -68,25 +72,34 @@ class Segments:
 
 
 def segments(hashes: np.ndarray, offs: np.ndarray, length: int = LENGTH) -> Segments:
-    n, width = len(hashes), length - GRAM + 1
-    counts = np.maximum(np.diff(offs) - length + 1, 0)
-    total = int(counts.sum())
-    if not total:
+    n, width = len(hashes) - length + 1, length - GRAM + 1
+    if n <= 0:
         none = np.zeros(0, np.int64)
         return Segments(none, none, np.zeros(0, np.uint64), none)
-    # least hash of each window; the place in the low half makes it the leftmost of equal ones
-    least, step = (hashes & _HIGH) | np.arange(n, dtype=np.uint64), 1
-    while 2 * step <= width:
-        least = np.minimum(least[:-step], least[step:])
-        step *= 2
-    if step < width:
-        least = np.minimum(least[: -(width - step)], least[width - step :])
-    starts = np.repeat(offs[:-1] - (np.cumsum(counts) - counts), counts) + np.arange(total)
-    anchor = (least[starts] & ~_HIGH).astype(np.int64)
-    cuts = np.concatenate([[0], np.flatnonzero((np.diff(anchor) != 0) | (np.diff(starts) != 1)) + 1])
-    ends = np.append(cuts[1:], total) - 1
-    first = starts[cuts]
-    return Segments(first, starts[ends] + 1, hashes[anchor[cuts]], np.searchsorted(offs, first, side="right") - 1)
+    anchor = np.empty(n, np.uint32)
+    for begin in range(0, n, _CHUNK):
+        m = min(_CHUNK, n - begin)
+        # least hash of each window; the place in the low half makes it the leftmost of equal ones
+        least = (hashes[begin : begin + m + width - 1] & _HIGH) | np.arange(begin, begin + m + width - 1, dtype=np.uint64)
+        step = 1
+        while 2 * step <= width:
+            least = np.minimum(least[:-step], least[step:])
+            step *= 2
+        if step < width:
+            least = np.minimum(least[: -(width - step)], least[width - step :])
+        anchor[begin : begin + m] = least.astype(np.uint32)
+    new = np.empty(n + 1, dtype=bool)
+    new[0], new[1:-1], new[-1] = True, anchor[1:] != anchor[:-1], True
+    # windows begin in a text, and the last ones of a text are those that still end in it
+    new[np.minimum(offs, n)] = True
+    new[np.clip(offs[1:] - length + 1, 0, n)] = True
+    cuts = np.flatnonzero(new)
+    first, past = cuts[:-1], cuts[1:]
+    doc = np.searchsorted(offs, first, side="right") - 1
+    inside = first + length <= offs[doc + 1]
+    first, past, doc = first[inside], past[inside], doc[inside]
+    # least hashes are small ones: mixed anew, they spread over all ranges
+    return Segments(first, past, mix(hashes[anchor[first]] ^ _A), doc)
 
 
 @dataclass
@@ -179,10 +192,10 @@ def least_ids(texts: list[bytes], ids: np.ndarray, length: int = LENGTH) -> tupl
     """For all windows of the distinct texts, one text after the other, the smallest id among equal windows; and where
     each text's windows begin."""
     sizes = np.array([len(t) for t in texts], np.int64)
-    string = np.frombuffer(b"".join(texts), np.uint8).astype(np.int32) + 1
+    string = np.frombuffer(b"".join(texts), np.uint8).astype(np.int16) + 1
     begins = np.cumsum(sizes + 1) - (sizes + 1)
-    symbols = np.zeros(int((sizes + 1).sum()), np.int32)
-    owner = np.repeat(np.arange(len(texts)), sizes + 1)
+    symbols = np.zeros(int((sizes + 1).sum()), np.int16)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes + 1)
     inside = np.ones(len(symbols), dtype=bool)
     inside[begins + sizes] = False
     symbols[inside] = string
@@ -313,18 +326,22 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, block_bytes: int = B
             ids, _, _, found = flagged(data[0], data[1:])
             least = _least(known(ids)[found.doc], found.entry, len(found.texts))
             cuts = layout.borders(found.key)
-            for r in np.flatnonzero(np.diff(cuts)).tolist():
-                a, b = int(cuts[r]), int(cuts[r + 1])
-                texts = found.texts[a:b]
-                row = [[r], [table["block"][0].as_py()], [_rising(found.key[a:b])], [_ids(least[a:b])], [planes(np.array([len(t) for t in texts]))], [zstandard.ZstdCompressor(level=1).compress(b"".join(texts))]]
-                kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names=["range", "block", "keys", "ids", "sizes", "texts"])
+            sizes, packer = np.array([len(t) for t in found.texts], np.int64), zstandard.ZstdCompressor(level=1)
+            filled = np.flatnonzero(np.diff(cuts)).tolist()
+            parts = [(int(cuts[r]), int(cuts[r + 1])) for r in filled]
+            columns = [
+                filled, [table["block"][0].as_py()] * len(parts), [_rising(found.key[a:b]) for a, b in parts], [_ids(least[a:b]) for a, b in parts],
+                [planes(sizes[a:b]) for a, b in parts], [packer.compress(b"".join(found.texts[a:b])) for a, b in parts],
+            ]
+            kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=["range", "block", "keys", "ids", "sizes", "texts"])
 
     def sorted_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, _ in runs(batches, ["range"], ["range", "block", "keys", "ids", "sizes", "texts"]):
             part = (1 << layout.range_bits) + table["range"][0].as_py()
-            for block, found in _shard(table, length):
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([found], pa.binary())], names=["block", "part", "data"])
+            answers = list(_shard(table, length))
+            columns = [pa.array([b for b, _ in answers], pa.int64()), pa.array([part] * len(answers), pa.int32()), pa.array([x for _, x in answers], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "part", "data"])
 
     parts = blocks.select("block", F.lit(-1).alias("part"), "data").unionByName(flags)
     candidates = parts.repartition("block").sortWithinPartitions("block", "part").mapInArrow(sent, "range int, block long, keys binary, ids binary, sizes binary, texts binary")
