@@ -11,6 +11,7 @@ import pytest
 import __spark_entry__ as contract
 import corpus_pipeline
 from ledgerlake.llm import backoff_lm, host_trust, queries, semantic_leaks
+from ledgerlake.llm.word_hashes import HashedWords
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,6 +34,20 @@ def plain_subsequence(a, b):
     return row[-1]
 
 
+def test_hashed_words_are_the_words():
+    """Equal words have equal hashes wherever they stand, different ones different ones, and each text its number."""
+    texts = [b"One, two\t(one) TWO  ...\n", b"", b"   ", "\u00e9t\u00e9 \u00c9t\u00e9 x\x0by\x0cz".encode(), b"one", bytes(range(1, 256)), b"-"]
+    for signs in (b"", semantic_leaks._SIGNS):
+        words = [[w for w in (x.strip(signs) if signs else x for x in t.lower().split()) if w] for t in texts]
+        held = HashedWords(texts, signs)
+        flat = [w for t in words for w in t]
+        assert np.diff(held.offs).tolist() == [len(t) for t in words] and held.docs().tolist() == [k for k, t in enumerate(words) for _ in t]
+        assert len(dict(zip(held.hashes.tolist(), flat, strict=True))) == len(set(zip(held.hashes.tolist(), flat, strict=True))) == len(set(flat))
+    assert len(HashedWords([]).hashes) == 0 and HashedWords([]).offs.tolist() == [0]
+    long = HashedWords([b"ab cd " * 900_000])
+    assert len(long.hashes) == 1_800_000 and len(np.unique(long.hashes)) == 2
+
+
 def test_common_subsequence():
     rng = random.Random(0)
     for _ in range(60):
@@ -40,15 +55,22 @@ def test_common_subsequence():
         assert semantic_leaks.common_subsequence(a, b) == plain_subsequence(a, b)
 
 
+def plain_words(text):
+    """The text's words lowered and without signs at their ends, one space between."""
+    signs = "".join(map(chr, semantic_leaks._SIGNS))
+    lowered = text.encode().lower().decode()
+    return " ".join(w for w in (x.strip(signs) for x in lowered.encode().split(b" ") for x in x.decode().split()) if w)
+
+
 def test_planted_paraphrases(spark):
     """Items with a fifth of their words changed are found in nine of ten cases; clean documents are left alone."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id < 400")
     items = {r.item_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()}
     rng, rows, planted = random.Random(1), [], {}
-    normal = {i: semantic_leaks.normal_words(t.encode()) for i, t in items.items()}
+    normal = {i: plain_words(t) for i, t in items.items()}
     for k, r in enumerate(docs.collect()):
         text = r.text
-        clean = not any(n in semantic_leaks.normal_words(text.encode()) for n in normal.values())
+        clean = not any(f" {n} " in f" {plain_words(text)} " for n in normal.values())
         if k % 8 == 0 and clean:
             item = rng.choice(sorted(items))
             words = [w if rng.random() > 0.2 else f"zz{rng.randint(0, 99)}" for w in items[item].split()]
@@ -62,6 +84,89 @@ def test_planted_paraphrases(spark):
     assert sum(d in {d for d, _, clean in rows if clean} for d, _ in got) <= 2
 
 
+def planted(items, docs, share, rng):
+    """Texts with an item in each, of which a share of the words are replaced by words of other texts."""
+    words = [w for t in docs for w in t.split()]
+    out = []
+    for k, item in enumerate(items):
+        own = docs[k % len(docs)].split()
+        at = rng.randrange(len(own) + 1)
+        out.append(" ".join([*own[:at], *(w if rng.random() >= share else rng.choice(words) for w in item.split()), *own[at:]]))
+    return out
+
+
+def test_recall_and_the_part_of_the_latent_space(spark):
+    """Nine of ten items are found, verbatim and with up to three tenths of their words replaced, and it is the cosine
+    that proposes them: few other pairs of document and item are candidates, and none is left with vectors of noise."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    items = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").orderBy("item_id").collect()]
+    texts = [r.text for r in table.where("length(text) < 4000").orderBy("doc_id").collect()]
+    weight = semantic_leaks.term_weights(table)
+    space = semantic_leaks.latent_space(table, weight)
+    prepared = semantic_leaks.prepare_items(list(range(len(items))), [i.encode() for i in items], space, weight)
+    scaled = semantic_leaks._scaled(space, weight)
+    for share in (0, 0.2, 0.3):
+        rows = [t.encode() for t in planted(items, texts, share, random.Random(3))]
+        found = semantic_leaks.find_leaks(rows, prepared, scaled)
+        assert sum(k in {i for i, _ in hits} for k, hits in enumerate(found)) >= 0.9 * len(items)
+    vectors = semantic_leaks._vectors(semantic_leaks._normal_words(rows), scaled)
+    assert semantic_leaks.near_passages(vectors, prepared, slice(0, len(items))).mean() < 0.15
+    noise = np.random.default_rng(1).standard_normal(prepared.vectors.shape).astype(np.float32)
+    prepared.vectors = semantic_leaks._unit(noise)
+    assert sum(map(len, semantic_leaks.find_leaks(rows, prepared, scaled))) < 0.1 * len(items)
+
+
+def plain_leaks(text, items, space, weight):
+    """All passages of a text against all passages of all items, one by one."""
+    out = []
+    words = semantic_leaks._normal_words([text]).hashes.tolist()
+
+    def windows(words):
+        n = len(words)
+        count = -(-(n - semantic_leaks.WIDTH) // semantic_leaks.STRIDE) + 1 if n > semantic_leaks.WIDTH else int(n > 0)
+        return [(k * semantic_leaks.STRIDE, words[k * semantic_leaks.STRIDE :][: semantic_leaks.WIDTH]) for k in range(count)]
+
+    def vector(words, begin):
+        """Terms count at their first place within WIDTH words, also of what lies before the window."""
+        total = np.zeros(space.shape[1])
+        terms = semantic_leaks.term_numbers(np.array(words, np.uint64))
+        for k in range(begin, min(begin + semantic_leaks.WIDTH, len(words))):
+            if terms[k] not in terms[max(0, k - semantic_leaks.WIDTH + 1) : k]:
+                total += space[terms[k]] * weight[terms[k]]
+        return total / max(np.linalg.norm(total), 1e-12)
+
+    mine = [(at, vector(words, at)) for at, _ in windows(words)]
+    for number, item in enumerate(items.words):
+        own = [vector(item, at) for at, _ in windows(item)]
+        spread = semantic_leaks.WIDTH + 2 * len(item)
+        answer, need = items.answers[number], max(1, math.ceil(semantic_leaks.ANSWER_SHARE * len(items.answers[number])))
+        spots = [k for k, w in enumerate(words) if w in answer]
+        places = [a for a, b in zip(spots, spots[need - 1 :], strict=False) if b - a < spread]
+        best, done = 0.0, -1
+        for at, v in mine:
+            if max((float(v @ o) for o in own), default=-1) < semantic_leaks.NEAR or not any(at - spread <= p <= at + spread for p in places) or at + semantic_leaks.WIDTH <= done:
+                continue
+            begin, done = max(0, at - len(item)), min(len(words), at + semantic_leaks.WIDTH + len(item))
+            around = words[begin:done]
+            if len(answer & set(around)) >= semantic_leaks.ANSWER_SHARE * len(answer):
+                best = max(best, plain_subsequence(item, around) / len(item))
+        if best * len(item) >= max(semantic_leaks.COVER * len(item), min(len(item), semantic_leaks.LEAST_WORDS)):
+            out.append((number, round(best, 9)))
+    return out
+
+
+def test_search_equals_plain_search(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    items = [r.text.encode() for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    texts = [r.text for r in table.where("length(text) < 1500").orderBy("doc_id").limit(25).collect()]
+    rows = [t.encode() for t in planted([i.decode() for i in items], texts, 0.25, random.Random(5))] + [b"", b"one two", b"the " * 300]
+    weight = semantic_leaks.term_weights(table)
+    space = semantic_leaks.latent_space(table, weight)
+    prepared = semantic_leaks.prepare_items(list(range(len(items))), items, space, weight)
+    got = semantic_leaks.find_leaks(rows, prepared, semantic_leaks._scaled(space, weight))
+    assert [[(i, round(s, 9)) for i, s in hits] for hits in got] == [plain_leaks(t, prepared, space, weight) for t in rows]
+
+
 def test_leaks_odd_rows(spark):
     item = "the quick brown fox jumps over the lazy dog while seven wizards brew potions quietly"
     docs = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (4, "!!! ..."), (None, item), (5, "pad " * 9000 + item)], "doc_id long, text string").selectExpr("*", "1 as share")
@@ -253,8 +358,8 @@ def test_terms_are_counted_by_document(spark):
     """Forms of a word, and words of one hashed term, count once for a text."""
     terms = semantic_leaks._TERMS
     names = [b"w%d" % k for k in range(3 * terms)]
-    numbers = semantic_leaks.term_numbers(names)
+    numbers = semantic_leaks.term_numbers(HashedWords(names).hashes)
     twin = next(k for k in range(1, len(names)) if numbers[k] == numbers[0])
     texts = [f"w0 w0, w0. (w0) W0 w{twin} ...", "other", None, "more words"]
     weight = semantic_leaks.term_weights(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
-    assert np.isclose(weight[numbers[0]], np.log(5 / 2) + 0.1)
+    assert np.isclose(weight[numbers[0]], (np.log(5 / 2) + 0.1) ** 2)
