@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.blocks import numbers, planes, scratch_folder, unpack_block, write_blocks
+from ledgerlake.llm.shared_keys import Layout, distinct_keys, read_flags, rising, shared_keys
 from ledgerlake.llm.suffix_arrays import permuted_prefixes, suffix_array
 from ledgerlake.llm.text import mix, runs
 
@@ -102,42 +103,9 @@ def segments(hashes: np.ndarray, offs: np.ndarray, length: int = LENGTH) -> Segm
     return Segments(first, past, mix(hashes[anchor[first]] ^ _A), doc)
 
 
-@dataclass
-class Layout:
-    """How hashes are cut: to `bits`, the first `range_bits` of which are the range."""
-
-    bits: int
-    range_bits: int
-
-    @staticmethod
-    def of(blocks: int, block_bytes: int) -> Layout:
-        """Ranges of some megabytes, and about a thousand possible values for each anchor there is."""
-        range_bits = max(4, (max(blocks, 1) // 8).bit_length())
-        return Layout(min(60, max(range_bits + 8, (max(blocks, 1) * (block_bytes // 8)).bit_length() + 10)), range_bits)
-
-    def cut(self, hashes: np.ndarray) -> np.ndarray:
-        return hashes >> np.uint64(64 - self.bits)
-
-    def borders(self, keys: np.ndarray) -> np.ndarray:
-        """Where each range begins in rising keys, and the end."""
-        edges = np.arange(1 << self.range_bits, dtype=np.uint64) << np.uint64(self.bits - self.range_bits)
-        return np.append(np.searchsorted(keys, edges), len(keys))
-
-
-def _rising(keys: np.ndarray) -> bytes:
-    return planes(np.diff(keys, prepend=np.uint64(0)))
-
-
 def anchors(found: Segments, layout: Layout) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct cut anchors of a block, which of them several rows have, and the anchor's index of each segment."""
-    key = layout.cut(found.key)
-    order = np.argsort(key, kind="stable")
-    key, doc = key[order], found.doc[order]
-    begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
-    ends = np.append(begins[1:], len(key)) - 1
-    index = np.empty(len(key), np.int64)
-    index[order] = np.repeat(np.arange(len(begins)), ends + 1 - begins)
-    return key[begins], doc[begins] != doc[ends], index
+    return distinct_keys(layout.cut(found.key), found.doc)
 
 
 @dataclass
@@ -272,49 +240,17 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, block_bytes: int = B
     blocks = write_blocks(docs, f"{folder}/blocks", block_bytes)
     layout = Layout.of(blocks.count(), block_bytes)
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, data in zip(batch["block"].to_pylist(), batch["data"].to_pylist(), strict=True):
-                _, text, offs = unpack_block(data)
-                key, several, _ = anchors(segments(gram_hashes(text), offs, length), layout)
-                cuts = layout.borders(key)
-                filled = np.flatnonzero(np.diff(cuts))
-                columns = [
-                    pa.array(filled.astype(np.int32)), pa.array([block] * len(filled), pa.int64()),
-                    pa.array([_rising(key[cuts[r] : cuts[r + 1]]) for r in filled], pa.binary()),
-                    pa.array([np.packbits(several[cuts[r] : cuts[r + 1]]).tobytes() for r in filled], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["range", "block", "keys", "several"])
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, _ in runs(batches, ["range"], ["range", "block", "keys", "several"]):
-            lists = [np.cumsum(numbers(x), dtype=np.uint64) for x in table["keys"].to_pylist()]
-            several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)) for x, k in zip(table["several"].to_pylist(), lists, strict=True)])
-            keys, inverse, counts = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
-            shared = counts > 1
-            shared[inverse[several.astype(bool)]] = True
-            ends = np.cumsum([len(k) for k in lists])
-            flags = [np.concatenate([np.packbits(x[inverse[end - len(k) : end]]) for x in (shared, counts > hot_blocks)]).tobytes() for end, k in zip(ends, lists, strict=True)]
-            yield pa.RecordBatch.from_arrays([table["block"].combine_chunks(), table["range"].combine_chunks(), pa.array(flags, pa.binary())], names=["block", "part", "data"])
-
-    lists = blocks.mapInArrow(listed, "range int, block long, keys binary, several binary")
-    flags = lists.repartition("range").sortWithinPartitions("range", "block").mapInArrow(compared, "block long, part int, data binary")
-    flags.write.parquet(f"{folder}/flags")
-    flags = spark.read.parquet(f"{folder}/flags")
+    def own(text: bytes, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return anchors(segments(gram_hashes(text), offs, length), layout)[:2]
+
+    flags = shared_keys(blocks, own, layout, folder, hot_blocks)
 
     def flagged(data: bytes, flags: list[bytes]) -> tuple[list, bytes, np.ndarray, Entries]:
         ids, text, offs = unpack_block(data)
         hashes = gram_hashes(text)
         found = segments(hashes, offs, length)
         key, _, index = anchors(found, layout)
-        sizes = np.diff(layout.borders(key))
-        shared, hot = np.zeros(len(key), dtype=bool), np.zeros(len(key), dtype=bool)
-        at = 0
-        for n, bits in zip(sizes[sizes > 0].tolist(), flags, strict=True):
-            half = len(bits) // 2
-            for out, part in ((shared, bits[:half]), (hot, bits[half:])):
-                out[at : at + n] = np.unpackbits(np.frombuffer(part, np.uint8), count=n)
-            at += n
+        shared, hot = read_flags(flags, layout.borders(key))
         return ids, text, offs, entries(text, hashes, found, index, shared, hot, layout, length)
 
     def known(ids: list) -> np.ndarray:
@@ -330,7 +266,7 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, block_bytes: int = B
             filled = np.flatnonzero(np.diff(cuts)).tolist()
             parts = [(int(cuts[r]), int(cuts[r + 1])) for r in filled]
             columns = [
-                filled, [table["block"][0].as_py()] * len(parts), [_rising(found.key[a:b]) for a, b in parts], [_ids(least[a:b]) for a, b in parts],
+                filled, [table["block"][0].as_py()] * len(parts), [rising(found.key[a:b]) for a, b in parts], [_ids(least[a:b]) for a, b in parts],
                 [planes(sizes[a:b]) for a, b in parts], [packer.compress(b"".join(found.texts[a:b])) for a, b in parts],
             ]
             kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
