@@ -131,8 +131,8 @@ def crc_fold(doc_ids: Iterable) -> np.ndarray:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, remainder: int = 0) -> DataFrame:
     """(doc_id, text, y) of at most `max_rows` labelled documents outside the held-out fold, picked by a hash of the id.
 
-    A document labelled more than once gets the mean label, ties up. The picked ids are bounded by `max_rows`, which is
-    why they may be broadcast."""
+    A document labelled more than once gets the mean label, ties up; of an id with several rows the greatest text stands
+    for it, so there are no more rows than ids. The picked ids are bounded by `max_rows`, which is why they may be broadcast."""
     picked = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), remainder))
         .groupBy("doc_id")
@@ -140,4 +140,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(max_rows)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    found = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")
+    return found.groupBy("doc_id", "y").agg(F.max("text").alias("text")).select("doc_id", "text", "y")

@@ -25,9 +25,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.blocks import scratch_folder
 from ledgerlake.llm.text import Tokens, labelled_sample, pieces, raw
 
 MAX_LABELLED = 8_000  # labelled documents, at most
+SAMPLE_TASKS = 24  # files of the sample
 MAX_WINDOWS = 6_000  # windows of WINDOW words the field is trained on, at most
 WINDOW, STEPS, L2, LEAST_WEIGHT = 32, 40, 1e-6, 0.02
 CUE_DOCS, CUE_SHARE, CUE_LIFT, PREFIXES = 4, 0.02, 25.0, (4, 5, 6, 7)
@@ -221,10 +223,12 @@ def cue_words(sample: DataFrame) -> set[bytes]:
 
 
 def fit_toxic_spans(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_LABELLED) -> SpanField:
-    # copies of a text would turn its chance words into cues
+    # copies of a text would turn its chance words into cues; the bounded sample is written once and read from there on
+    place = f"{scratch_folder(docs.sparkSession)}/sample"
     sample = labelled_sample(docs, labels, label, max_rows)
-    first = sample.groupBy(F.xxhash64("text").alias("h")).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    sample = sample.join(F.broadcast(first), "doc_id")
+    sample = sample.groupBy(F.xxhash64("text").alias("h")).agg(F.min_by(F.struct(*sample.columns), "doc_id").alias("first")).select("first.*")
+    sample.repartition(SAMPLE_TASKS).write.parquet(place)
+    sample = docs.sparkSession.read.schema(sample.schema).parquet(place)
     cues = cue_words(sample)
     if not cues:
         return SpanField({}, np.zeros((2, 2)), np.array([-30.0, 0.0, 0.0]))
@@ -234,7 +238,7 @@ def fit_toxic_spans(docs: DataFrame, labels: DataFrame, label: str = "toxic", ma
         for piece in pieces(batches, "text"):
             out: list[tuple] = []
             for doc, text, y in zip(piece["doc_id"].to_pylist(), raw(piece), piece["y"].to_pylist(), strict=True):
-                words = [w[:64] for w in text.split()]
+                words = text.split()
                 for at in range(0, len(words), WINDOW):
                     part = words[at : at + WINDOW]
                     shown = [int(not cues.isdisjoint(core_keys(word_core(w)))) for w in part]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.llm import additive_model, boosted_rules, queries, stats, toxic_spans
+from ledgerlake.llm.text import labelled_sample
 from ledgerlake.llm.text import Tokens, crc_fold, held_out
 
 SF = "/root/testdata/sf0.001"
@@ -112,6 +113,22 @@ def test_held_out_rows(spark, query, label, least):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_toxic_documents_are_found(spark):
+    """Not only mostly right, which a model that never says toxic would be, too."""
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    rows = queries.QUERIES["op9_toxicity"](spark, sf).join(labels, "doc_id").collect()
+    hits = sum(r.predicted and r.toxic for r in rows)
+    assert hits >= 0.6 * sum(r.toxic for r in rows) and hits >= 0.7 * sum(r.predicted for r in rows)
+
+
+def test_sample_has_one_row_for_an_id(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, None), (3, "c"), (None, "d")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, None), (None, 1), (9, 1)], "doc_id long, quality int")
+    got = labelled_sample(docs, labels, "quality", 10, remainder=-1)
+    assert sorted(map(tuple, got.collect())) == [(1, "b", 1), (2, None, 0)]
+
+
 def test_marginals_against_all_paths():
     rng = np.random.default_rng(2)
     offs = np.array([0, 1, 1, 6, 9])
