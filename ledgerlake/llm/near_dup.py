@@ -37,8 +37,12 @@ REGION, BLOCK, SMALL = 2048, 1500, 6
 _N = TREES * DEPTH
 _RANDOM = mix(np.arange(1, 2 * _N + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTOR, _SHIFT = (_RANDOM[:_N] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (_RANDOM[_N:] >> np.uint64(32)).astype(np.uint32)
-#: Of 64 signature bytes a pair must share so many: five standard deviations below similarity 0.85.
-_LEAST_EQUAL = int(_N * (PERCENT / 100 - 5 * np.sqrt(0.85 * 0.15 / _N)))
+
+
+def least_equal(percent: int) -> int:
+    """Of 64 signature bytes a pair must share so many: five standard deviations below that similarity."""
+    share = percent / 100
+    return int(_N * (share - 5 * np.sqrt(share * (1 - share) / _N)))
 
 
 def shingle_sets(texts: list[bytes], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -112,19 +116,20 @@ def _classes(linked: np.ndarray) -> np.ndarray:
     return root
 
 
-def _similar(tops: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def _similar(tops: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
     """Which pairs could be links, by signature and set size."""
-    n = len(sizes)
+    n, least = len(sizes), least_equal(percent)
     out = np.zeros((n, n), dtype=bool)
     for a in range(0, n, 32):
         equal = (tops[a : a + 32, None, :] == tops[None, :, :]).sum(axis=2, dtype=np.uint8)
         small, large = np.minimum(sizes[a : a + 32, None], sizes[None]), np.maximum(sizes[a : a + 32, None], sizes[None])
-        out[a : a + 32] = (equal >= _LEAST_EQUAL) & (100 * small >= PERCENT * large)
+        out[a : a + 32] = (equal >= least) & (100 * small >= percent * large)
     return out
 
 
-def forest_neighbours(texts: DataFrame) -> DataFrame:
+def forest_neighbours(texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(u, v): candidate neighbours among `texts` (doc_id, n_shingles, keys, tops), from all trees."""
+    least = least_equal(percent)
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = None  # last row of the region part before, where the region goes on
@@ -141,7 +146,7 @@ def forest_neighbours(texts: DataFrame) -> DataFrame:
                 if not len(at):
                     break
                 a, b = at, at + gap
-                close = ((tops[a] == tops[b]).sum(axis=1) >= _LEAST_EQUAL) & (100 * np.minimum(sizes[a], sizes[b]) >= PERCENT * np.maximum(sizes[a], sizes[b]))
+                close = ((tops[a] == tops[b]).sum(axis=1) >= least) & (100 * np.minimum(sizes[a], sizes[b]) >= percent * np.maximum(sizes[a], sizes[b]))
                 if close.any():
                     yield emit(ids[a[close]], ids[b[close]])
 
@@ -163,7 +168,7 @@ def forest_neighbours(texts: DataFrame) -> DataFrame:
                 tail = ids[-1] if more else None
             else:
                 tops = np.frombuffer(b"".join(part["tops"].to_pylist()), np.uint8).reshape(-1, _N)
-                root = _classes(_similar(tops, part["n_shingles"].to_numpy()))
+                root = _classes(_similar(tops, part["n_shingles"].to_numpy(), percent))
                 at = np.flatnonzero(root != np.arange(len(root)))
                 if len(at):
                     yield emit(ids[at], ids[root[at]])
@@ -177,9 +182,8 @@ def forest_neighbours(texts: DataFrame) -> DataFrame:
     return dealt.mapInArrow(neighbours, "u long, v long").distinct()
 
 
-def exact_links(sets: np.ndarray, offs: np.ndarray, halves: np.ndarray | None = None) -> np.ndarray:
-    """The symmetric matrix of links between texts, by counting their common shingles; with `halves`, only links
-    between the two blocks matter and others may be missing."""
+def exact_links(sets: np.ndarray, offs: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """The symmetric matrix of links between texts, by counting their common shingles."""
     n, sizes = len(offs) - 1, np.diff(offs)
     doc = np.repeat(np.arange(n), sizes)
     _, ids = np.unique(sets, return_inverse=True)
@@ -195,12 +199,12 @@ def exact_links(sets: np.ndarray, offs: np.ndarray, halves: np.ndarray | None =
         lengths = counts[mine]
         at = np.repeat(begins[mine] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
         both = np.bincount(posting[at], minlength=n)
-        linked[i] = 100 * both >= PERCENT * (sizes[i] + sizes - both)
+        linked[i] = 100 * both >= percent * (sizes[i] + sizes - both)
     np.fill_diagonal(linked, False)
     return linked
 
 
-def confirmed_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def confirmed_links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(u, v) that connect what is linked within each candidate class (vertex, h, component), on full sets. The text of
     a vertex is the one with hash h."""
     size = classes.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
@@ -219,7 +223,7 @@ def confirmed_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
             packed = part["sets"].to_pylist()
             offs = np.concatenate([[0], np.cumsum([len(p) // 8 for p in packed])])
             ids, sets = part["doc_id"].to_numpy(), np.frombuffer(b"".join(packed), np.uint64)
-            root = _classes(exact_links(sets, offs))
+            root = _classes(exact_links(sets, offs, percent))
             at = np.flatnonzero(root != np.arange(len(root)))
             if len(at):
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(ids[root[at]])], names=["u", "v"])
@@ -236,8 +240,9 @@ def confirmed_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return held.mapInArrow(linked, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept (doc_id = component_id) of every row of `docs` (doc_id, text)."""
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept (doc_id = component_id) of every row of `docs` (doc_id, text). Texts are
+    linked from `percent` of common shingles on; below 80 the forest misses more than two in ten thousand at the edge."""
     signed = signatures(docs).checkpoint()
     real = signed.where("n_shingles > 0 and doc_id is not null")
     prints = ["n_shingles", "f1", "f2"]
@@ -247,8 +252,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     member = one.join(first, prints).select("doc_id", "h", "rep").checkpoint()
     chosen = member.where("doc_id = rep").select("doc_id", "h")
     forest = real.join(chosen, ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id"])
-    classes = components(forest_neighbours(forest)).join(chosen.withColumnRenamed("doc_id", "vertex"), "vertex").checkpoint()
-    linked = components(confirmed_links(docs, classes))
+    classes = components(forest_neighbours(forest, percent)).join(chosen.withColumnRenamed("doc_id", "vertex"), "vertex").checkpoint()
+    linked = components(confirmed_links(docs, classes, percent))
     whole = member.join(linked.withColumnRenamed("vertex", "rep"), "rep", "left").select(
         "doc_id", F.coalesce("component", "rep").alias("component")
     )

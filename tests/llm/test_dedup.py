@@ -89,6 +89,20 @@ def test_large_regions_and_blocks(spark, monkeypatch):
     assert got == plain_components(texts)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_near_duplicates_from_another_threshold_on(spark, percent):
+    words = [f"w{k}" for k in range(104)]  # 100 shingles; of each changed word at an end one shingle is lost on either side
+    texts = {0: " ".join(words)} | {k: " ".join([*words[:-k], *(f"x{k}_{j}" for j in range(k))]) for k in range(1, 20)}
+    rows = near_dup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), percent).collect()
+    sets = {k: shingles(t) for k, t in texts.items()}
+    root = {k: k for k in texts}
+    for _ in texts:
+        for a, b in itertools.combinations(texts, 2):
+            if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                root[a] = root[b] = min(root[a], root[b])
+    assert {r.doc_id: r.component_id for r in rows} == root and len(set(root.values())) > 1
+
+
 def test_near_duplicates_odd_rows(spark):
     rows = [(1, "a b c d e f", 0), (1, "a b c d e f", 0), (2, "A B C D E F", 0), (None, "a b c d e f", 0), (3, "w " * 20_000, 0), (4, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, component long")
@@ -284,6 +298,64 @@ def test_seeds_elsewhere_take_no_passage_away(spark):
     assert {(r.doc_id, r.ref_id, r.first_word, r.past_word) for r in got} == {(200, 100, 40, 100), (400, 300, len(again), len(again) + 60)}
 
 
+def test_parts_of_a_passage_elsewhere_take_it_not_away(spark):
+    """Twenty passages of 60 words in two documents; parts of 30 to 36 words of each in three documents with smaller ids."""
+    rng = random.Random(6)
+    words = lambda n: [f"p{rng.randrange(10**9)}" for _ in range(n)]
+    passages = [words(60) for _ in range(20)]
+    rows = []
+    for k in range(3):
+        parts = [words(25) + p[a : a + rng.randint(30, 36)] for p in passages for a in [rng.randint(0, 24)]]
+        rows.append((k, " ".join(w for p in parts for w in p)))
+    want = set()
+    for k in (10, 20):
+        text = words(10)
+        for p in rng.sample(passages, 20):
+            if k == 20:
+                want.add((len(text), len(text) + 60))
+            text += p + words(80)
+        rows.append((k, " ".join(text)))
+    rows += [(30, " ".join(words(500))), (40, None)]
+    got = passage_chains.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.first_word, r.past_word) for r in got if (r.doc_id, r.ref_id) == (20, 10)} == want
+    assert {r.doc_id for r in got} == {20}
+
+
+def test_changed_passages_against_all_pairs(spark):
+    """Passages of 80 to 200 words, and up to three copies with a tenth of their words changed: of the words that comparing
+    all pairs along all diagonals finds nine tenths are found, and nearly nothing else."""
+    rng = random.Random(8)
+    words = lambda n: [f"c{rng.randrange(10**6)}" for _ in range(n)]
+    texts = {k: words(rng.randint(50, 200)) for k in range(60)}
+    for _ in range(25):
+        passage = words(rng.randint(80, 200))
+        first = True
+        for k in rng.sample(sorted(texts), rng.randint(2, 4)):
+            at = rng.randrange(len(texts[k]) + 1)
+            texts[k][at:at] = passage if first else [w if rng.random() > 0.1 else f"x{rng.randrange(10**6)}" for w in passage]
+            first = False
+    want = set()
+    for a, b in itertools.combinations(sorted(texts), 2):
+        for shift in range(-len(texts[a]), len(texts[b])):
+            low, high = max(0, -shift), min(len(texts[a]), len(texts[b]) - shift)
+            if high - low >= 50:
+                same = np.array([texts[a][i] == texts[b][i + shift] for i in range(low, high)])
+                want |= {(b, low + first + shift, low + past + shift) for first, past, _ in passage_chains.stretches(same)}
+    assert len(want) > 50
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in texts.items()], "doc_id long, text string")
+    got = passage_chains.repeated_passages(docs, block_bytes=4000).collect()
+    words_of = lambda spans: {(d, i) for d, first, past in spans for i in range(first, past)}
+    asked, found = words_of(want), words_of((r.doc_id, r.first_word, r.past_word) for r in got)
+    assert len(asked & found) >= 0.9 * len(asked) and len(asked & found) >= 0.95 * len(found)
+
+
+def test_copied_blocks_give_the_same_passages(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    whole = Counter(map(tuple, passage_chains.repeated_passages(docs).collect()))
+    monkeypatch.setattr(passage_chains, "ROWS_PER_COPY", 2)
+    assert Counter(map(tuple, passage_chains.repeated_passages(docs, block_bytes=50_000).collect())) == whole and whole
+
+
 def test_every_run_keeps_its_least_hash():
     rng = np.random.default_rng(1)
     h = rng.integers(0, 50, size=60).astype(np.uint64)
