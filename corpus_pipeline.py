@@ -26,10 +26,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id, and one row of each id. Documents
-    without an id can't be told apart and stay."""
+    """One document of each group of near duplicates (80 % of their shingles or more in common), that with the smallest id,
+    and one row of each id. Documents without an id can't be told apart and stay."""
     shared_folder(spark)
-    kept = near_dup.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    kept = near_dup.near_duplicates(docs, percent=80).where("kept and doc_id is not null").select("doc_id").distinct()
     named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id is null"))
 
