@@ -3,6 +3,7 @@ and get back for it are few rows of many numbers."""
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -26,6 +27,13 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let go of shuffle files that no frame refers to any more. Spark removes them once the driver has collected its garbage,
+    which a driver that has little to do may put off until the disks are full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def pack_block(ids: list, texts: list[bytes]) -> bytes:
     sizes = pa.array([len(t) for t in texts], pa.int64())
     batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), sizes], names=["doc_id", "size"])
