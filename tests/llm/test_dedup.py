@@ -24,7 +24,7 @@ def shingles(text):
     return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
-def plain_components(texts):
+def plain_components(texts, percent=85):
     sets = {k: shingles(t) for k, t in texts.items()}
     root = {k: k for k in sets}
 
@@ -35,7 +35,7 @@ def plain_components(texts):
 
     for a, b in itertools.combinations(sorted(sets), 2):
         both = len(sets[a] & sets[b])
-        if sets[a] and both and 100 * both >= 85 * len(sets[a] | sets[b]):
+        if sets[a] and both and 100 * both >= percent * len(sets[a] | sets[b]):
             a, b = sorted((find(a), find(b)))
             root[b] = a
     return {k: (len(s), find(k)) for k, s in sets.items()}

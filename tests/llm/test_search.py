@@ -330,7 +330,7 @@ def test_pipeline_stages(spark, tmp_path):
         if name == "near_dedup":
             from test_dedup import plain_components
 
-            groups = plain_components({r.doc_id: r.text for r in before.collect()})
+            groups = plain_components({r.doc_id: r.text for r in before.collect()}, 80)
             assert sorted(r.doc_id for r in at.collect()) == sorted(k for k, (_, c) in groups.items() if k == c)
     left = {r.doc_id: len((r.text or "").encode().split()) + 1 for r in before.collect()}
     packed = Counter()
