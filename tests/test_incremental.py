@@ -198,6 +198,11 @@ def test_ids_beyond_32_bits_and_reruns_without_a_month(spark, house, tmp_path):
     assert fact.count() == 91 and fact.where(f"transaction_id >= {BIG} and client_id >= {BIG} and merchant_id >= {BIG}").count() == 91
     assert fact.where("is_fraud").count() == 45 and fact.where("client_key is not null").count() == 91
     assert {r.state for r in house.reconcile(*quarter).select(F.col("gold_state").alias("state")).collect()} == {"same"}
+    # what is kept beside the fact tells the same as the fact
+    assert tuple(house.active_counts().first()) == (5, 2)
+    assert {r.period_date: r.client_unique_cnt for r in house.active_counts("month", "2020-02-10").collect()} == {dt.date(2020, 2, 1): 5, dt.date(2020, 3, 1): 5}
+    house.create_latest_day_view()
+    assert bag(house.latest_day_summary()) == bag(spark.table("i_gold.vw_transaction_summary")) != Counter()
     # without February, nothing of it is left anywhere
     rest = [d for d in range(91) if not 31 <= d < 60]
     build(rest)
@@ -210,6 +215,16 @@ def test_ids_beyond_32_bits_and_reruns_without_a_month(spark, house, tmp_path):
     assert dict(house.read("silver.transactions").dtypes)["merchant_id"] == "bigint"
 
 
+def test_merged_users_equal_rebuilt_ones(spark, house):
+    for day, keys, name in ((0, range(30), "a"), (2, range(10), "c"), (1, range(5, 20), "b")):
+        load = user_load(spark, keys, day, name).withColumn("id", F.col("id").cast("long") + BIG)
+        tables.append(load, house.name("bronze.users"))
+        house.merge_users(load, "2020-06-01")
+        merged = bag(house.read("silver.users"))
+        house.build_users("2020-06-01")
+        assert bag(house.read("silver.users")) == merged != Counter()
+
+
 def test_labels_are_joined_where_they_lie(spark, house):
     """Neither the labels nor the facts in equal buckets pass an exchange for their join."""
     from ledgerlake.plans.detail import transaction_detail
