@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.blocks import scratch_folder
-from ledgerlake.llm.text import Tokens, labelled_sample, pieces, raw
+from ledgerlake.llm.text import PIECE_BYTES, Tokens, labelled_sample, pieces, raw
 
 MAX_LABELLED = 8_000  # labelled documents, at most
 SAMPLE_TASKS = 24  # files of the sample
@@ -261,7 +261,7 @@ def fit_toxic_spans(docs: DataFrame, labels: DataFrame, label: str = "toxic", ma
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            largest, total, _ = _aggregate(field, raw(piece))
+            largest, total, _, _ = _aggregate(field, raw(piece))
             yield pa.RecordBatch.from_arrays([piece["doc_id"], piece["y"], pa.array(largest), pa.array(total)], names=["doc_id", "y", "largest", "total"])
 
     known = sample.mapInArrow(summed, "doc_id long, y int, largest double, total double").toArrow()
@@ -275,8 +275,9 @@ def fit_toxic_spans(docs: DataFrame, labels: DataFrame, label: str = "toxic", ma
     return field
 
 
-def _aggregate(field: SpanField, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Largest marginal and evidence, minus the log of the product of 1 - p, of each text; the marginals of all words."""
+def _aggregate(field: SpanField, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Largest marginal and evidence, minus the log of the product of 1 - p, of each text; the marginals of all words, and
+    the word with which each text begins."""
     tokens = Tokens(texts)
     p = field.marginals(tokens)
     full = np.diff(tokens.offs) > 0
@@ -284,17 +285,16 @@ def _aggregate(field: SpanField, texts: list[bytes]) -> tuple[np.ndarray, np.nda
     if len(p):
         largest[full] = np.maximum.reduceat(p, tokens.offs[:-1][full])
         total[full] = np.add.reduceat(-np.log1p(-np.minimum(p, 1 - 1e-6)), tokens.offs[:-1][full])
-    return largest, total, p
+    return largest, total, p, tokens.offs
 
 
 def tag_toxic(docs: DataFrame, field: SpanField, least: float = 0.5) -> DataFrame:
     """doc_id, score, and spans: (first word, word past the last, largest marginal) of each run of toxic words."""
 
     def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text"):
+        for piece in pieces(batches, "text", 3 * PIECE_BYTES):  # large ones have fewer distinct words in all
             texts = raw(piece)
-            offs = np.concatenate([[0], np.cumsum([len(t.split()) for t in texts])])
-            largest, total, p = _aggregate(field, texts)
+            largest, total, p, offs = _aggregate(field, texts)
             spans: list[list[dict]] = [[] for _ in texts]
             hot = np.flatnonzero(p >= least)
             doc = np.searchsorted(offs, hot, side="right") - 1
