@@ -5,8 +5,8 @@
    square of its idf; document frequencies come from all documents.
 2. The latent space is a randomised SVD of the passage-term matrix, made where the passages lie: with a fixed random
    matrix R, each task sums a'(aR) over its passages a, Spark adds up the tasks' sums by term, and the driver
-   orthogonalises terms x `RANK` numbers, a size that doesn't grow with the data; this is repeated `POWER` times. The
-   space is fitted on a bounded sample of documents (`FIT_DOCS`, by a hash of the id), written once; every passage is searched.
+   orthogonalises terms x `RANK` numbers, a size that doesn't grow with the data; this is repeated `POWER` times. Weights
+   and space are learned from all passages of all documents, whose terms are written once, in 16 bits each.
 3. Cosine search: every passage of every document is compared with every passage of the items, as one product of matrices
    for a piece of text. A document is a candidate for the items of which a passage reaches `NEAR`; nothing else is.
 4. For a candidate, passages that are near and close to where rare words of the item, its answer, stand together are
@@ -35,7 +35,7 @@ from ledgerlake.llm.blocks import scratch_folder
 from ledgerlake.llm.text import PIECE_BYTES, pieces, raw
 from ledgerlake.llm.word_hashes import HashedWords
 
-WIDTH, STRIDE, TERM_BITS, RANK, POWER, FIT_DOCS = 32, 8, 13, 64, 2, 5_000
+WIDTH, STRIDE, TERM_BITS, RANK, POWER = 32, 8, 13, 64, 2
 LEAST_WORDS = 8  # of an item are needed in order, or all of a shorter one
 NEAR, COVER, ANSWER_WORDS, ANSWER_SHARE, MOST_ITEMS_BYTES = 0.45, 0.55, 6, 0.5, 8 << 20
 ITEM_GROUP, CHUNK, STEPS = 512, 1024, 512  # items, and passages, compared at once; steps summed at once
@@ -63,33 +63,6 @@ def passages(offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc, first, np.minimum(first + WIDTH, offs[1:][doc])
 
 
-def _window_sums(table: np.ndarray, term: np.ndarray, once: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """Sums, over the windows of `passages`, of the rows of the table of the terms that count there, by way of the sums
-    over STRIDE words."""
-    lengths = np.diff(offs)
-    steps = -(-lengths // STRIDE)
-    nth = np.arange(steps.sum()) - np.repeat(np.cumsum(steps) - steps, steps)
-    counted = np.concatenate([[0], np.cumsum(once)])
-    # places of counted words where each step begins, and the end
-    begins = counted[np.append(np.repeat(offs[:-1], steps) + nth * STRIDE, offs[-1])]
-    term = term[once]
-    sums = np.zeros((len(nth) + 1, table.shape[1]), table.dtype)
-    for a in range(0, len(nth), STEPS):  # small enough for the processor's cache
-        b = min(a + STEPS, len(nth))
-        own = begins[a:b]
-        filled = np.flatnonzero(begins[a + 1 : b + 1] > own)
-        if len(filled):
-            sums[a + filled] = np.add.reduceat(table[term[own[0] : begins[b]]], own[filled] - own[0], axis=0)
-    first_step, past_step = np.cumsum(steps) - steps, np.cumsum(steps)
-    number = np.where(lengths > WIDTH, steps - WIDTH // STRIDE + 1, (lengths > 0).astype(np.int64))
-    first = np.repeat(first_step - (np.cumsum(number) - number), number) + np.arange(number.sum())
-    past = np.repeat(past_step, number)
-    out = sums[first]
-    for k in range(1, WIDTH // STRIDE):
-        out += sums[np.where(first + k < past, first + k, len(nth))]  # the last row is zero
-    return out
-
-
 def first_places(docs: np.ndarray, term: np.ndarray) -> np.ndarray:
     """Which places of a term count: those where the text has it not among the WIDTH words before."""
     place = np.arange(len(term))
@@ -100,71 +73,143 @@ def first_places(docs: np.ndarray, term: np.ndarray) -> np.ndarray:
     return out
 
 
-def _norms(term: np.ndarray, once: np.ndarray, weight: np.ndarray, first: np.ndarray, past: np.ndarray) -> np.ndarray:
-    """Euclidean norm of each window's tf-idf vector."""
-    size = past - first
-    at = np.repeat(first - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-    window = np.repeat(np.arange(len(size)), size)
-    key, which = np.unique(window * _TERMS + term[at], return_inverse=True)
-    counts = np.bincount(which, once[at], len(key))
-    return np.sqrt(np.bincount(key // _TERMS, (counts * weight[key % _TERMS]) ** 2, len(size)))
+def _counted(words: HashedWords) -> np.ndarray:
+    """The hashed term of each place that counts, `_TERMS` for the others."""
+    term = term_numbers(words.hashes)
+    return np.where(first_places(words.docs(), term), term, _TERMS).astype(np.uint16)
+
+
+def _steps(counted: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Steps x STRIDE: counted terms, filled up with `_TERMS`, and the step with which each window of `passages` begins. Behind
+    each text are empty steps, so that a window is always as many steps and never reaches the next text."""
+    lengths = np.diff(offs)
+    begins = np.concatenate([[0], np.cumsum(-(-lengths // STRIDE) + WIDTH // STRIDE - 1)])
+    steps = np.full(begins[-1] * STRIDE, _TERMS, np.uint16)
+    steps[np.arange(len(counted)) + np.repeat(begins[:-1] * STRIDE - offs[:-1], lengths)] = counted
+    doc, first, _ = passages(offs)
+    return steps.reshape(-1, STRIDE), begins[:-1][doc] + (first - offs[:-1][doc]) // STRIDE
+
+
+def _row_sums(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sums of the rows of the table that each line of `rows` names, some lines at once that fit the processor's cache."""
+    out = np.zeros((len(rows), table.shape[1]), table.dtype)
+    held = np.empty((STEPS, table.shape[1]), table.dtype)
+    for a in range(0, len(rows), STEPS):
+        part = rows[a : a + STEPS]
+        for k in range(part.shape[1]):
+            out[a : a + STEPS] += np.take(table, part[:, k], axis=0, out=held[: len(part)], mode="clip")
+    return out
+
+
+def _with_none(table: np.ndarray) -> np.ndarray:
+    """The table of terms with a row of zeros for places that don't count."""
+    return np.concatenate([table, np.zeros((1, *table.shape[1:]), table.dtype)])
+
+
+def _over_windows(sums: np.ndarray) -> np.ndarray:
+    """Sums over the steps of a window from each step on."""
+    out = sums.copy()
+    for k in range(1, WIDTH // STRIDE):
+        out[: len(out) - k] += sums[k:]
+    return out
+
+
+def _window_sums(table: np.ndarray, counted: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Sums, over the windows of `passages`, of the rows of the table of the terms that count there, by way of the sums
+    over STRIDE words."""
+    steps, first = _steps(counted, offs)
+    return _over_windows(_row_sums(_with_none(table), steps))[first]
+
+
+def counted_terms(docs: DataFrame) -> DataFrame:
+    """`terms`: of every text, the hashed terms that count, in 16 bits each. Written once, so that the weights and the
+    space are learned from all texts without cutting them again."""
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "text"):
+            words = _normal_words(raw(piece))
+            ends, terms = pa.py_buffer((2 * words.offs).astype(np.int32)), pa.py_buffer(_counted(words))
+            yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), piece.num_rows, [None, ends, terms])], names=["terms"])
+
+    place = f"{scratch_folder(docs.sparkSession)}/terms"
+    docs.selectExpr("cast(text as string) text").mapInArrow(cut, "terms binary").write.parquet(place)
+    return docs.sparkSession.read.parquet(place)
+
+
+def _pieces_of_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Counted terms of some texts, and where each text begins."""
+    for piece in pieces(batches, "terms", PIECE_BYTES // 4):
+        held = raw(piece, "terms")
+        yield np.frombuffer(b"".join(held), np.uint16), np.cumsum([0, *map(len, held)]) // 2
 
-def term_weights(docs: DataFrame) -> np.ndarray:
-    """Weight of each hashed term, from its document frequency over all documents. Tasks send one count for each term."""
+
+def term_weights(docs: DataFrame, terms: DataFrame | None = None) -> np.ndarray:
+    """Weight of each hashed term, from its document frequency over all documents. Tasks send one count for each term.
+    `terms` are the documents' `counted_terms`, where they are written already."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n = np.zeros(_TERMS, np.int64), 0
-        for piece in pieces(batches, "text", 2 * PIECE_BYTES):
-            words = _normal_words(raw(piece))
-            n += piece.num_rows
-            term, docs = term_numbers(words.hashes), words.docs()
-            for begin in range(0, piece.num_rows, 256):  # a text counts once for a term
-                a, b = words.offs[begin], words.offs[min(begin + 256, piece.num_rows)]
-                has = np.zeros((256, _TERMS), dtype=bool)
-                has[docs[a:b] - begin, term[a:b]] = True
-                seen += has.sum(axis=0)
+        for term, offs in _pieces_of_terms(batches):
+            rows = len(offs) - 1
+            n += rows
+            doc = np.repeat(np.arange(rows), np.diff(offs))
+            for begin in range(0, rows, 256):  # a text counts once for a term
+                a, b = offs[begin], offs[min(begin + 256, rows)]
+                has = np.zeros((256, _TERMS + 1), dtype=bool)
+                has[doc[a:b] - begin, term[a:b]] = True
+                seen += has[:, :_TERMS].sum(axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(_TERMS + 1)), pa.array(np.append(seen, n))], names=["term", "n"])
 
-    rows = docs.selectExpr("cast(text as string) text").mapInArrow(counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    terms = counted_terms(docs) if terms is None else terms
+    rows = terms.mapInArrow(counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     count = np.zeros(_TERMS + 1)
     count[rows["term"].to_numpy()] = rows["n"].to_numpy()
     return (np.log(np.maximum(1, (count[-1] + 1) / (count[:-1] + 1))) + 0.1) ** 2
 
 
-def latent_space(docs: DataFrame, weight: np.ndarray, rank: int = RANK, power: int = POWER, fit_docs: int = FIT_DOCS) -> np.ndarray:
-    """Terms x rank: orthonormal directions of the greatest variance of passages, by randomised subspace iteration."""
-    place = f"{scratch_folder(docs.sparkSession)}/sample"
-    rows = docs.selectExpr("doc_id", "cast(text as string) text").where("doc_id is not null")
-    rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs).write.parquet(place)  # by a top-k of each partition
-    sample = docs.sparkSession.read.parquet(place)
-    sample = sample.repartition(max(1, fit_docs // 200))
+def _received(rows: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of the steps, and for each the sum of the rows of the steps it stands in. `rows` end with one of zeros."""
+    number = np.bincount(steps.reshape(-1), minlength=_TERMS + 1)[:_TERMS]
+    has = np.flatnonzero(number)
+    number = number[has]
+    at = np.argsort(steps.reshape(-1), kind="stable")[: number.sum()] // STRIDE
+    # a term's places in lines of STRIDE, the last of them filled up
+    lines = -(-number // STRIDE)
+    first = np.cumsum(lines) - lines
+    dealt = np.full(lines.sum() * STRIDE, len(rows) - 1)
+    dealt[np.repeat(first * STRIDE - (np.cumsum(number) - number), number) + np.arange(len(at))] = at
+    sums = _row_sums(rows, dealt.reshape(-1, STRIDE))
+    return has, np.add.reduceat(sums, first, axis=0, dtype=np.float64) if len(has) else sums
+
+
+def latent_space(docs: DataFrame, weight: np.ndarray, rank: int = RANK, power: int = POWER, terms: DataFrame | None = None) -> np.ndarray:
+    """Terms x rank: orthonormal directions of the greatest variance of the passages of all documents, by randomised
+    subspace iteration. `terms` are the documents' `counted_terms`, where they are written already."""
+    terms = counted_terms(docs) if terms is None else terms
+    squares = _with_none(weight**2)
     basis = np.linalg.qr(np.random.default_rng(7).standard_normal((_TERMS, rank)))[0]
     for _ in range(power):
-        near = basis * weight[:, None]
+        near = _with_none((basis * weight[:, None]).astype(np.float32))
 
         def summed(batches: Iterator[pa.RecordBatch], near=near) -> Iterator[pa.RecordBatch]:
             total = np.zeros((_TERMS, rank))
-            for piece in pieces(batches, "text"):
-                words = _normal_words(raw(piece))
-                if not len(words.hashes):
-                    continue
-                term = term_numbers(words.hashes)
-                _, first, past = passages(words.offs)
-                once = first_places(words.docs(), term)
-                norm = np.maximum(_norms(term, once, weight, first, past), 1e-9)[:, None]
-                seen = _window_sums(near, term, once, words.offs) / norm**2
-                # a'(aR): each word of a window receives the window's row; running sums over the windows of a word
-                change = np.zeros((len(term) + 1, rank))
-                change[first] += seen  # no two windows begin at one word
-                np.add.at(change, past, -seen)
-                received = np.cumsum(change, axis=0)[:-1] * once[:, None]
-                order = np.argsort(term, kind="stable")
-                cuts = np.flatnonzero(np.diff(term[order], prepend=-1))
-                total[term[order][cuts]] += np.add.reduceat(received[order], cuts, axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(_TERMS)), pa.array(list(total))], names=["term", "row"])
-
-        parts = sample.select("text").mapInArrow(summed, "term long, row array<double>")
+            for term, offs in _pieces_of_terms(batches):
+                steps, first = _steps(term, offs)
+                # a window has a counted term once: its squared length is the sum of squared weights
+                share = np.zeros((len(steps), 1), np.float32)
+                share[first, 0] = 1 / np.maximum(_over_windows(squares[steps].sum(axis=1))[first], 1e-18)
+                seen = _over_windows(_row_sums(near, steps)) * share
+                # a'(aR): each step receives the rows of the windows that it lies in
+                rows = np.concatenate([seen, np.zeros((1, rank), np.float32)])
+                for k in range(1, WIDTH // STRIDE):
+                    rows[k : len(seen)] += seen[: len(seen) - k]
+                has, sums = _received(rows, steps)
+                total[has] += sums
+            has = np.flatnonzero(total.any(axis=1))
+            lists = pa.ListArray.from_arrays(np.arange(len(has) + 1, dtype=np.int32) * rank, total[has].reshape(-1))
+            yield pa.RecordBatch.from_arrays([pa.array(has), lists], names=["term", "row"])
+
+        parts = terms.mapInArrow(summed, "term long, row array<double>")
         added = parts.groupBy("term").agg(*(F.sum(F.col("row")[k]).alias(f"r{k}") for k in range(rank))).toArrow()
         matrix = np.zeros((_TERMS, rank))
         if added.num_rows:
@@ -194,8 +239,7 @@ def _scaled(space: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 def _vectors(words: HashedWords, scaled: np.ndarray) -> np.ndarray:
     """Unit vectors of all passages of the texts, in the latent space."""
-    term = term_numbers(words.hashes)
-    return _unit(_window_sums(scaled, term, first_places(words.docs(), term), words.offs))
+    return _unit(_window_sums(scaled, _counted(words), words.offs))
 
 
 def prepare_items(ids: list[int], texts: list[bytes], space: np.ndarray, weight: np.ndarray) -> Items:
@@ -312,8 +356,9 @@ def _common_share(held: HashedWords, items: Items, d: int, item: int, near: np.n
 def _searchers(docs: DataFrame, benchmark: DataFrame) -> list:
     """Functions from texts to leaks, each for benchmark items of bounded size."""
     rows = benchmark.selectExpr("cast(item_id as long) item_id", "cast(text as string) text").where("item_id is not null and text is not null")
-    weight = term_weights(docs)
-    space = latent_space(docs, weight)
+    terms = counted_terms(docs)
+    weight = term_weights(docs, terms)
+    space = latent_space(docs, weight, terms=terms)
     out, ids, texts, held = [], [], [], 0
 
     def searcher(ids: list[int], texts: list[bytes]):

@@ -363,3 +363,29 @@ def test_terms_are_counted_by_document(spark):
     texts = [f"w0 w0, w0. (w0) W0 w{twin} ...", "other", None, "more words"]
     weight = semantic_leaks.term_weights(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert np.isclose(weight[numbers[0]], (np.log(5 / 2) + 0.1) ** 2)
+
+
+def test_space_is_fitted_on_all_passages(spark):
+    """However many documents there are, null, empty and repeated ids among them: the space is that of all windows, one by one."""
+    rng, terms, width = random.Random(5), semantic_leaks._TERMS, semantic_leaks.WIDTH
+    names = [f"w{k}" for k in range(150)]
+    texts = [" ".join(rng.choices(names[k % 80 : k % 80 + 70], k=rng.choice((1, 3, 8, 9, 20)))) for k in range(6000)]
+    texts += [" ".join(rng.choices(names, k=n)) for n in (31, 32, 33, 39, 40, 41, 100, 333)] + [None, "", "..."]
+    table = spark.createDataFrame([(None if k % 7 == 0 else k // 2, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    weight = semantic_leaks.term_weights(table)
+    number = dict(zip(names, semantic_leaks.term_numbers(HashedWords([n.encode() for n in names]).hashes).tolist(), strict=True))
+    used = sorted(set(number.values()))
+    windows = []
+    for text in texts:
+        words = [used.index(number[w]) for w in (text or "").split() if w in number]
+        for at in range(0, max(len(words) - width, 0) + semantic_leaks.STRIDE if words else 0, semantic_leaks.STRIDE):
+            row = np.zeros(len(used))
+            for k in range(at, min(at + width, len(words))):
+                row[words[k]] += words[k] not in words[max(0, k - width + 1) : k]
+            windows.append(row * weight[used])
+    unit = np.array(windows) / np.maximum(np.linalg.norm(windows, axis=1, keepdims=True), 1e-9)
+    want = np.linalg.qr(np.random.default_rng(7).standard_normal((terms, semantic_leaks.RANK)))[0][used]
+    for _ in range(semantic_leaks.POWER):
+        want = np.linalg.qr(unit.T @ (unit @ want))[0]
+    got = semantic_leaks.latent_space(table, weight)
+    assert np.abs(got[used] @ got[used].T - want @ want.T).max() < 1e-3
