@@ -365,15 +365,20 @@ def test_terms_are_counted_by_document(spark):
     assert np.isclose(weight[numbers[0]], (np.log(5 / 2) + 0.1) ** 2)
 
 
-def test_space_is_fitted_on_all_passages(spark):
-    """However many documents there are, null, empty and repeated ids among them: the space is that of all windows, one by one."""
-    rng, terms, width = random.Random(5), semantic_leaks._TERMS, semantic_leaks.WIDTH
-    names = [f"w{k}" for k in range(150)]
-    texts = [" ".join(rng.choices(names[k % 80 : k % 80 + 70], k=rng.choice((1, 3, 8, 9, 20)))) for k in range(6000)]
-    texts += [" ".join(rng.choices(names, k=n)) for n in (31, 32, 33, 39, 40, 41, 100, 333)] + [None, "", "..."]
-    table = spark.createDataFrame([(None if k % 7 == 0 else k // 2, t) for k, t in enumerate(texts)], "doc_id long, text string")
-    weight = semantic_leaks.term_weights(table)
-    number = dict(zip(names, semantic_leaks.term_numbers(HashedWords([n.encode() for n in names]).hashes).tolist(), strict=True))
+NAMES = [f"w{k}" for k in range(150)]
+
+
+def texts_of_all_lengths():
+    """More texts than any sample of 5,000 holds; null and empty ones among them."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(NAMES[k % 80 : k % 80 + 70], k=rng.choice((1, 3, 8, 9, 20)))) for k in range(6000)]
+    return texts + [" ".join(rng.choices(NAMES, k=n)) for n in (31, 32, 33, 39, 40, 41, 100, 333)] + [None, "", "..."]
+
+
+def plain_space(texts, weight):
+    """The terms in use, and the space of all windows, one by one."""
+    width = semantic_leaks.WIDTH
+    number = dict(zip(NAMES, semantic_leaks.term_numbers(HashedWords([n.encode() for n in NAMES]).hashes).tolist(), strict=True))
     used = sorted(set(number.values()))
     windows = []
     for text in texts:
@@ -384,8 +389,35 @@ def test_space_is_fitted_on_all_passages(spark):
                 row[words[k]] += words[k] not in words[max(0, k - width + 1) : k]
             windows.append(row * weight[used])
     unit = np.array(windows) / np.maximum(np.linalg.norm(windows, axis=1, keepdims=True), 1e-9)
-    want = np.linalg.qr(np.random.default_rng(7).standard_normal((terms, semantic_leaks.RANK)))[0][used]
+    space = np.linalg.qr(np.random.default_rng(7).standard_normal((semantic_leaks._TERMS, semantic_leaks.RANK)))[0][used]
     for _ in range(semantic_leaks.POWER):
-        want = np.linalg.qr(unit.T @ (unit @ want))[0]
-    got = semantic_leaks.latent_space(table, weight)
-    assert np.abs(got[used] @ got[used].T - want @ want.T).max() < 1e-3
+        space = np.linalg.qr(unit.T @ (unit @ space))[0]
+    return used, space
+
+
+def same_space(got, want, used):
+    return np.abs(got[used] @ got[used].T - want @ want.T).max() < 1e-3
+
+
+def test_space_is_fitted_on_all_passages(spark):
+    """However many documents there are, null and repeated ids among them."""
+    texts = texts_of_all_lengths()
+    table = spark.createDataFrame([(None if k % 7 == 0 else k // 2, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    weight = semantic_leaks.term_weights(table)
+    used, want = plain_space(texts, weight)
+    assert same_space(semantic_leaks.latent_space(table, weight), want, used)
+
+
+def test_pipeline_learns_from_all_documents_it_cleans(spark, tmp_path, monkeypatch):
+    """The stage searches in the space of all documents that it is given, and drops the one in which the item leaks."""
+    texts, item = texts_of_all_lengths(), " ".join(NAMES[:40])
+    texts += [" ".join([*NAMES[100:120], item, *NAMES[120:150]])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    seen, prepare = [], semantic_leaks.prepare_items
+    monkeypatch.setattr(semantic_leaks, "prepare_items", lambda *given: seen.append(given[2:]) or prepare(*given))
+    kept = {r.doc_id for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).select("doc_id").collect()}
+    assert kept == set(range(len(texts) - 1))
+    ((space, weight),) = seen
+    used, want = plain_space(texts, weight)
+    assert same_space(space, want, used)
