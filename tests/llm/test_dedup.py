@@ -349,6 +349,35 @@ def test_changed_passages_against_all_pairs(spark):
     assert len(asked & found) >= 0.9 * len(asked) and len(asked & found) >= 0.95 * len(found)
 
 
+def test_all_documents_that_share_a_changed_passage_are_paired(spark):
+    """Twelve documents have a passage, each with four words changed, so that none shares a longer run with one than with others."""
+    rng = random.Random(12)
+    words = lambda n: [f"a{rng.randrange(10**9)}" for _ in range(n)]
+    passage, rows, at = words(90), [], {}
+    for k in range(12):
+        changed = [f"x{rng.randrange(10**9)}" if i in (17, 35, 53, 71) else w for i, w in enumerate(passage)]
+        at[k] = rng.randrange(40)
+        rows.append((k, " ".join([*words(at[k]), *changed, *words(rng.randrange(40))])))
+    got = passage_chains.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.ref_id) for r in got} == {(b, a) for a, b in itertools.combinations(range(12), 2)}
+    assert all((r.first_word, r.past_word, r.ref_word, r.n_same) == (at[r.doc_id], at[r.doc_id] + 90, at[r.ref_id], 86) for r in got)
+
+
+def test_copies_and_exact_passages_name_the_first(spark, monkeypatch):
+    """Also in several passes, over seeds that hundreds of places have."""
+    rng = random.Random(13)
+    words = lambda n: [f"e{rng.randrange(10**9)}" for _ in range(n)]
+    copied, passage, line = words(70), words(90), words(12)
+    rows = [(k, copied) for k in (5, 3, 9)] + [(k, [*words(20), *passage, *words(20)]) for k in (11, 12, 13, 14)]
+    rows += [(k, [*words(3), *line * 200]) for k in (21, 22)] + [(30, None), (5, copied), (None, copied)]
+    docs = spark.createDataFrame([(k, t and " ".join(t)) for k, t in rows], "doc_id long, text string")
+    monkeypatch.setattr(passage_chains, "LEAST_LINKS", 2)
+    monkeypatch.setattr(passage_chains, "LINKS_PER_BLOCK", 1)
+    got = {(r.doc_id, r.ref_id, r.first_word, r.past_word) for r in passage_chains.repeated_passages(docs).collect()}
+    assert {x for x in got if x[0] < 20} == {(5, 3, 0, 70), (9, 3, 0, 70), *((k, 11, 20, 110) for k in (12, 13, 14))}
+    assert {(d, r) for d, r, _, _ in got if d > 20} == {(22, 21)}
+
+
 def test_copied_blocks_give_the_same_passages(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     whole = Counter(map(tuple, passage_chains.repeated_passages(docs).collect()))
