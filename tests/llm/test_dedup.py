@@ -378,6 +378,63 @@ def test_copies_and_exact_passages_name_the_first(spark, monkeypatch):
     assert {(d, r) for d, r, _, _ in got if d > 20} == {(22, 21)}
 
 
+def test_many_pairs_at_once_are_chained_and_aligned_as_each_alone(monkeypatch):
+    """Also where seeds repeat and cross, in documents of all sizes, in small portions, and with few and many trees in step."""
+    rng = np.random.default_rng(17)
+    line = rng.integers(0, 1 << 32, 40, dtype=np.uint32)
+    texts = []
+    for k in range(24):
+        parts = [line[rng.integers(0, 12) :] if rng.random() < 0.6 else rng.integers(0, 1 << 32, rng.integers(0, 40), dtype=np.uint32) for _ in range(rng.integers(0, 9))]
+        text = np.concatenate([*parts, np.zeros(0, np.uint32)]).astype(np.uint32)
+        text[rng.random(len(text)) < 0.03] = 7
+        texts.append(np.tile(text, 6) if k % 5 == 0 else text)
+    seeds, places = [], []
+    for text in texts:
+        grams = np.array([hash(tuple(text[i : i + passage_chains.K].tolist())) & (1 << 62) - 1 for i in range(len(text) - passage_chains.K + 1)], np.uint64)
+        places.append(np.flatnonzero(passage_chains.winnowed(grams, np.array([0, len(grams)]), 4)).astype(np.int32))
+        seeds.append(grams[places[-1]])
+    held = passage_chains.Held(*([x.tobytes() for x in column] for column in (seeds, places, texts)))
+    mine, ref = (np.array(x) for x in zip(*itertools.combinations(range(24), 2), strict=True))
+    want = set()
+    for k, (a, b) in enumerate(zip(mine.tolist(), ref.tolist(), strict=True)):
+        pair, pos, other = passage_chains.common_seeds(held, mine[k : k + 1], ref[k : k + 1])
+        if not len(pos):
+            continue
+        assert all(seeds[a][places[a] == p] == seeds[b][places[b] == q] for p, q in zip(pos, other, strict=True))
+        for members in passage_chains.chain(pos, other):
+            p, shift = pos[members], (other - pos)[members]
+            low, high = max(0, p[0] - passage_chains.REACH), min(len(texts[a]), p[-1] + passage_chains.K + passage_chains.REACH)
+            agree = lambda x, y, by: np.array([0 <= i + by < len(texts[b]) and texts[a][i] == texts[b][i + by] for i in range(x, y)], dtype=bool)  # noqa: B023, E731
+            same, begin = [], low
+            for by, nxt, end in zip(shift[:-1], shift[1:], p[1:], strict=True):
+                if by != nxt:
+                    old, new = agree(begin, end, by), agree(begin, end, nxt)
+                    cut = int(np.argmax([old[:c].sum() + new[c:].sum() for c in range(end - begin + 1)]))
+                    same, begin = [*same, old[:cut], new[cut:]], end
+            same = np.concatenate([*same, agree(begin, high, shift[-1])])
+            want |= {(k, low + first, low + past, max(0, low + first + shift[0]), n) for first, past, n in passage_chains.stretches(same)}
+    for portion, least in ((1 << 20, 1), (200, 1 << 20), (3000, 2)):
+        monkeypatch.setattr(passage_chains, "SEEDS_AT_ONCE", portion)
+        monkeypatch.setattr(passage_chains, "WORDS_AT_ONCE", portion)
+        monkeypatch.setattr(passage_chains, "LEAST_TREES", least)
+        got = [row for found in passage_chains.pair_passages(held, mine, ref) for row in zip(*(x.tolist() for x in found), strict=True)]
+        assert set(got) == want and len(want) > 40
+
+
+def test_runs_are_the_passages_of_a_document_together(spark, monkeypatch):
+    """Changed copies of one text: every pair is compared, and a row for each run says with how many documents it is shared."""
+    rng = random.Random(19)
+    words = lambda n: [f"r{rng.randrange(10**9)}" for _ in range(n)]
+    text, other, rows = words(150), words(70), []
+    for k in range(30):
+        changed = [f"x{rng.randrange(10**9)}" if 20 <= i < 130 and i % 29 == k % 29 else w for i, w in enumerate(text)]
+        rows.append((k, [*changed, *words(90), *(other if k >= 28 else [])]))
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in rows] + [(40, None)], "doc_id long, text string")
+    monkeypatch.setattr(passage_chains, "ROWS_PER_COPY", 4)
+    got = {(r.doc_id, r.first_word, r.past_word, r.n_refs, r.ref_id) for r in passage_chains.repeated_runs(docs).collect()}
+    assert got == {(k, 0, 150, k, 0) for k in range(1, 30)} | {(29, 240, 310, 1, 28)}
+
+
 def test_copied_blocks_give_the_same_passages(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     whole = Counter(map(tuple, passage_chains.repeated_passages(docs).collect()))
