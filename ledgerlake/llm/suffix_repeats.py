@@ -12,9 +12,11 @@ with a smaller doc_id.
 3. The block removes what windows with a smaller doc_id cover, and returns spans and the bytes left.
 
 The first step only leaves out windows that occur in one document; hashes that collide cost work, not correctness. The
-number of ranges follows that of the blocks, and a shard's string is cut at about `SHARD_BYTES` between anchors. An anchor
-in more than `HOT_BLOCKS` blocks is dealt by the hash of each whole window, so that frequent phrases in many contexts
-spread; a window that so many blocks share stays one row for each block.
+number of ranges follows that of the blocks, and a shard's string is cut at about `SHARD_BYTES` between anchors. What a block
+and a range send each other is a row, so blocks hold several megabytes: rows grow with the square of their number. An anchor
+with more than `TEXTS_PER_BLOCK` times `HOT_BLOCKS` texts, counted in each block, is dealt by the hash of each whole window, so
+that frequent phrases in many contexts spread. Being in many blocks is not enough: a line that every block has in a few contexts
+is a few entries of each, and fifteen times as many window by window.
 
 Defined results: null and empty texts have no bytes and no spans. A row with a null doc_id keeps all its bytes, and
 nothing is removed elsewhere for it. Rows with one doc_id don't count as smaller than each other. Texts shorter than
@@ -38,7 +40,8 @@ from ledgerlake.llm.suffix_arrays import permuted_prefixes, suffix_array
 from ledgerlake.llm.text import mix, runs
 
 LENGTH, GRAM = 50, 24
-BLOCK_BYTES, SHARD_BYTES, HOT_BLOCKS = 1 << 20, 1 << 19, 1000
+BLOCK_BYTES, SHARD_BYTES, HOT_BLOCKS, TEXTS_PER_BLOCK = 1 << 23, 1 << 19, 1000, 32
+BLOCKS_PER_RANGE, HASHED_BYTES = 2, 1 << 20
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 _CHUNK = 1 << 15
@@ -70,13 +73,14 @@ class Segments:
     past: np.ndarray
     key: np.ndarray  # hash of the anchor
     doc: np.ndarray  # row in the block
+    text: np.ndarray  # hash of three strings of GRAM bytes of the windows
 
 
 def segments(hashes: np.ndarray, offs: np.ndarray, length: int = LENGTH) -> Segments:
     n, width = len(hashes) - length + 1, length - GRAM + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
-        return Segments(none, none, np.zeros(0, np.uint64), none)
+        return Segments(none, none, np.zeros(0, np.uint64), none, np.zeros(0, np.uint64))
     anchor = np.empty(n, np.uint32)
     for begin in range(0, n, _CHUNK):
         m = min(_CHUNK, n - begin)
@@ -99,8 +103,22 @@ def segments(hashes: np.ndarray, offs: np.ndarray, length: int = LENGTH) -> Segm
     doc = np.searchsorted(offs, first, side="right") - 1
     inside = first + length <= offs[doc + 1]
     first, past, doc = first[inside], past[inside], doc[inside]
+    last = past - 1 + length - GRAM
+    text = mix(hashes[first] * _A + hashes[np.minimum(first + GRAM, last)] * _B + hashes[last] * _C + (last - first).astype(np.uint64))
     # least hashes are small ones: mixed anew, they spread over all ranges
-    return Segments(first, past, mix(hashes[anchor[first]] ^ _A), doc)
+    return Segments(first, past, mix(hashes[anchor[first]] ^ _A), doc, text)
+
+
+def block_segments(data: bytes, offs: np.ndarray, length: int) -> Segments:
+    """Those of a block, some documents at a time."""
+    out, row = [segments(np.zeros(0, np.uint64), offs[:1], length)], 0
+    while row < len(offs) - 1:
+        stop = max(row + 1, int(np.searchsorted(offs, offs[row] + HASHED_BYTES, side="right")) - 1)
+        begin, past = int(offs[row]), int(offs[stop])
+        some = segments(gram_hashes(data[begin:past]), offs[row : stop + 1] - begin, length)
+        out.append(Segments(some.first + begin, some.past + begin, some.key, some.doc + row, some.text))
+        row = stop
+    return Segments(*(np.concatenate([getattr(x, c) for x in out]) for c in ("first", "past", "key", "doc", "text")))
 
 
 def anchors(found: Segments, layout: Layout) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -108,6 +126,17 @@ def anchors(found: Segments, layout: Layout) -> tuple[np.ndarray, np.ndarray, np
     return distinct_keys(layout.cut(found.key), found.doc)
 
 
+def n_texts(found: Segments, index: np.ndarray) -> np.ndarray:
+    """How many different texts the segments of each anchor have."""
+    out = np.bincount(index)
+    at = np.flatnonzero(out[index] > 1)
+    order = np.lexsort((found.text[at], index[at]))
+    anchor, text = index[at][order], found.text[at][order]
+    new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])])[: len(at)]
+    out[out > 1] = 0
+    return out + np.bincount(anchor[new], minlength=len(out))
+
+
 @dataclass
 class Entries:
     """Distinct segment texts of a block in the order of their keys; `entry` names that of each occurrence."""
@@ -119,13 +148,16 @@ class Entries:
     doc: np.ndarray
 
 
-def entries(data: bytes, hashes: np.ndarray, found: Segments, index: np.ndarray, shared: np.ndarray, hot: np.ndarray, layout: Layout, length: int) -> Entries:
+def entries(data: bytes, found: Segments, index: np.ndarray, shared: np.ndarray, hot: np.ndarray, layout: Layout, length: int) -> Entries:
     """The segments whose anchor is shared; those whose anchor is hot window by window."""
     plain = np.flatnonzero((shared & ~hot)[index])
     split = np.flatnonzero((shared & hot)[index])
     sizes = found.past[split] - found.first[split]
     window = np.repeat(found.first[split] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-    whole = mix(hashes[window] * _A + hashes[window + min(GRAM, length - GRAM)] * _B + hashes[window + length - GRAM])
+    parts = [data[a:b] for a, b in zip(found.first[split].tolist(), (found.past[split] - 1 + length).tolist(), strict=True)]
+    hashes, n = gram_hashes(b"".join(parts)), sizes + length - 1  # of these segments, one after the other
+    local = window - np.repeat(found.first[split] - (np.cumsum(n) - n), sizes)
+    whole = mix(hashes[local] * _A + hashes[local + min(GRAM, length - GRAM)] * _B + hashes[local + length - GRAM])
     key = layout.cut(np.concatenate([found.key[plain], whole]))
     first = np.concatenate([found.first[plain], window])
     past = np.concatenate([found.past[plain] - 1 + length, window + length])
@@ -184,11 +216,12 @@ def _shard(rows: pa.Table, length: int) -> Iterator[tuple[int, bytes]]:
     keys = [np.cumsum(numbers(x), dtype=np.uint64) for x in rows["keys"].to_pylist()]
     ids = np.concatenate([_from_ids(x) for x in rows["ids"].to_pylist()])
     sizes = np.concatenate([numbers(x) for x in rows["sizes"].to_pylist()]).astype(np.int64)
-    data = b"".join(zstandard.ZstdDecompressor().decompress(x) for x in rows["texts"].to_pylist())
+    unpacker = zstandard.ZstdDecompressor()
+    data = b"".join(unpacker.decompress(x) for x in rows["texts"].to_pylist())
     ends = np.cumsum(sizes)
     all_keys = np.concatenate(keys)
     order = np.argsort(all_keys, kind="stable")
-    bounds = list(zip((ends - sizes).tolist(), ends.tolist(), strict=True))
+    in_order, starts = all_keys[order], ends - sizes
     number = np.empty(len(order), np.int64)  # distinct text of each entry
     n_runs, run_sizes, run_ids, total = [], [], [], 0
     at = 0
@@ -196,10 +229,10 @@ def _shard(rows: pa.Table, length: int) -> Iterator[tuple[int, bytes]]:
     while at < len(order):
         stop = int(np.searchsorted(filled, (filled[at - 1] if at else 0) + SHARD_BYTES)) + 1
         if stop < len(order):  # all of a key go together
-            stop = int(np.searchsorted(all_keys[order], all_keys[order[min(stop, len(order)) - 1]], side="right"))
+            stop = int(np.searchsorted(in_order, in_order[stop - 1], side="right"))
         part = order[at : min(stop, len(order))]
         seen: dict[bytes, int] = {}
-        which = np.fromiter((seen.setdefault(data[a:b], len(seen)) for a, b in (bounds[i] for i in part.tolist())), np.int64, len(part))
+        which = np.fromiter((seen.setdefault(data[a:b], len(seen)) for a, b in zip(starts[part].tolist(), ends[part].tolist(), strict=True)), np.int64, len(part))
         number[part] = total + which
         least, begins = least_ids(list(seen), _least(ids[part], which, len(seen)), length)
         new = np.concatenate([[True], least[1:] != least[:-1]])[: len(least)]
@@ -238,20 +271,21 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, block_bytes: int = B
     spark = docs.sparkSession
     folder = scratch_folder(spark)
     blocks = write_blocks(docs, f"{folder}/blocks", block_bytes)
-    layout = Layout.of(blocks.count(), block_bytes)
+    layout = Layout.of(blocks.count(), block_bytes, BLOCKS_PER_RANGE)
 
-    def own(text: bytes, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return anchors(segments(gram_hashes(text), offs, length), layout)[:2]
+    def own(text: bytes, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found = block_segments(text, offs, length)
+        key, several, index = anchors(found, layout)
+        return key, several, n_texts(found, index)
 
-    flags = shared_keys(blocks, own, layout, folder, hot_blocks)
+    flags = shared_keys(blocks, own, layout, folder, TEXTS_PER_BLOCK * hot_blocks)
 
     def flagged(data: bytes, flags: list[bytes]) -> tuple[list, bytes, np.ndarray, Entries]:
         ids, text, offs = unpack_block(data)
-        hashes = gram_hashes(text)
-        found = segments(hashes, offs, length)
+        found = block_segments(text, offs, length)
         key, _, index = anchors(found, layout)
         shared, hot = read_flags(flags, layout.borders(key))
-        return ids, text, offs, entries(text, hashes, found, index, shared, hot, layout, length)
+        return ids, text, offs, entries(text, found, index, shared, hot, layout, length)
 
     def known(ids: list) -> np.ndarray:
         return np.array([_NO_ID if i is None else i for i in ids], np.int64)
@@ -305,7 +339,7 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, block_bytes: int = B
             change = np.zeros(len(text) + 1, np.int32)
             np.add.at(change, start[goes], 1)
             np.add.at(change, start[goes] + sizes[run][goes] + length - 1, -1)
-            gone = np.cumsum(change[:-1]) > 0
+            gone = np.cumsum(change[:-1], dtype=np.int32) > 0
             edge = np.zeros(len(text) + 1, dtype=bool)
             edge[offs] = True  # spans of neighbouring documents are two
             opens = np.flatnonzero(gone & (np.concatenate([[True], ~gone[:-1]])[: len(gone)] | edge[:-1]))
@@ -314,7 +348,7 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, block_bytes: int = B
             spans = pa.StructArray.from_arrays([pa.array(opens - offs[owner]), pa.array(closes - offs[owner])], names=["begin", "past"])
             span_offs = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(ids)))]).astype(np.int32)
             left = np.frombuffer(text, np.uint8)[~gone].tobytes()
-            kept = np.concatenate([[0], np.cumsum(~gone)])[offs].tolist()
+            kept = np.where(offs > 0, np.cumsum(np.append(~gone, False), dtype=np.int32)[offs - 1], 0).tolist()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(np.diff(offs)), pa.ListArray.from_arrays(pa.array(span_offs), spans), pa.array([left[a:b] for a, b in zip(kept[:-1], kept[1:], strict=True)], pa.binary())],
                 names=["doc_id", "n_bytes", "spans", "kept"],

@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 
 from ledgerlake.llm import block_max, queries, suffix_repeats, turn_trie
-from ledgerlake.llm.blocks import numbers, pack_block, planes, scratch_folder, unpack_block
+from ledgerlake.llm.blocks import numbers, pack_block, planes, scratch_folder, unpack_block, write_blocks
+from ledgerlake.llm.shared_keys import Layout, read_flags, shared_keys
 from ledgerlake.llm.suffix_arrays import permuted_prefixes, suffix_array
 
 SF = "/root/testdata/sf0.01"
@@ -103,6 +104,63 @@ def test_bytes_that_smaller_ids_have_go(spark, length, block_bytes, hot_blocks):
     assert removed(docs.repartition(3), length=length, block_bytes=block_bytes, hot_blocks=hot_blocks) == want
 
 
+@pytest.mark.parametrize("length", [30, 50])
+def test_anchors_with_many_texts_are_dealt_by_window(spark, monkeypatch, length):
+    monkeypatch.setattr(suffix_repeats, "TEXTS_PER_BLOCK", 1)
+    rng = random.Random(length)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    line = word(70)
+    texts = [(k, word(rng.randint(0, 40)) + line[rng.randint(0, 20) :] + word(rng.randint(0, 40))) for k in range(50)] + [(60 + k, line) for k in range(9)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    want = plain_removed([(d, t.encode()) for d, t in texts], length)
+    assert removed(docs.repartition(2), length=length, block_bytes=500, hot_blocks=3) == want
+
+
+def test_a_line_in_every_block_is_not_hot_for_that(spark):
+    """Flags of a key that 30 blocks have once, of one that they have in ten texts each, and of one in a single block."""
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(30)], "doc_id long, text string").repartition(30, "doc_id")
+    folder = scratch_folder(spark)
+    blocks = write_blocks(docs, f"{folder}/blocks", 1)
+    layout = Layout(20, 4)
+
+    def own(text, offs):
+        row = int(text.split()[1])
+        return np.array([3, 7, 100 + row], np.uint64), np.zeros(3, dtype=bool), np.array([1, 10, 70_000])
+
+    flags = shared_keys(blocks, own, layout, folder, 100)
+    for r in flags.collect():
+        shared, hot = read_flags([r["data"]], np.array([0, 3]))
+        assert shared.tolist() == [True, True, False] and hot.tolist() == [False, True, True]
+
+
+def test_texts_of_an_anchor_are_counted():
+    data = (b"x" * 10 + bytes(range(65, 125)) + b"y" * 10) * 3 + b"zz" + bytes(range(65, 125))
+    found = suffix_repeats.block_segments(data, np.array([0, len(data)]), suffix_repeats.LENGTH)
+    _, _, index = suffix_repeats.anchors(found, Layout(60, 4))
+    counts = suffix_repeats.n_texts(found, index)
+    texts = [data[a : b - 1 + suffix_repeats.LENGTH] for a, b in zip(found.first.tolist(), found.past.tolist(), strict=True)]
+    assert counts.tolist() == [len({t for t, i in zip(texts, index.tolist(), strict=True) if i == k}) for k in range(len(counts))]
+    assert max(np.bincount(index)) > 1
+
+
+def test_segments_of_a_block_are_those_of_its_parts(monkeypatch):
+    rng = random.Random(3)
+    texts = [bytes(rng.choices(b"abc", k=rng.choice([0, 20, 49, 50, 51, 300]))) for _ in range(60)]
+    offs = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    want = suffix_repeats.block_segments(b"".join(texts), offs, 50)
+    monkeypatch.setattr(suffix_repeats, "HASHED_BYTES", 200)
+    got = suffix_repeats.block_segments(b"".join(texts), offs, 50)
+    assert all((getattr(got, c) == getattr(want, c)).all() for c in ("first", "past", "key", "doc", "text")) and len(want.first)
+
+
+def test_rows_between_blocks_and_ranges_stay_few():
+    """10 GB of text: what each block sends each range is a row."""
+    blocks = 10_000_000_000 // suffix_repeats.BLOCK_BYTES
+    layout = Layout.of(blocks, suffix_repeats.BLOCK_BYTES, suffix_repeats.BLOCKS_PER_RANGE)
+    assert blocks << layout.range_bits < 2_000_000
+    assert suffix_repeats.BLOCK_BYTES * blocks >> layout.range_bits <= 1 << 24  # and a range's part is bounded
+
+
 def test_no_documents(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert suffix_repeats.repeated_strings(docs).count() == 0
