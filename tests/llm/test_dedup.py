@@ -435,6 +435,19 @@ def test_runs_are_the_passages_of_a_document_together(spark, monkeypatch):
     assert got == {(k, 0, 150, k, 0) for k in range(1, 30)} | {(29, 240, 310, 1, 28)}
 
 
+def test_pairs_of_a_group_are_not_listed(spark, tmp_path, monkeypatch):
+    """Every pair of 60 changed copies is compared, and what is written on the way has no row for each pair."""
+    rng = random.Random(23)
+    text = [f"p{rng.randrange(10**9)}" for _ in range(120)]
+    rows = [(k, " ".join(f"q{rng.randrange(10**9)}" if i % 23 == k % 23 else w for i, w in enumerate(text))) for k in range(60)]
+    monkeypatch.setattr(passage_chains, "scratch_folder", lambda _: str(tmp_path))
+    monkeypatch.setattr(passage_chains, "ROWS_PER_COPY", 7)
+    got = {(r.doc_id, r.ref_id) for r in passage_chains.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got >= {(a, b) for a in range(60) for b in range(a) if a % 23 != b % 23}
+    written = {f.name: spark.read.option("recursiveFileLookup", "true").parquet(str(f)).count() for f in tmp_path.iterdir() if f.name != "passages" and any(f.rglob("*.parquet"))}
+    assert max(written.values()) < 600, written
+
+
 def test_copied_blocks_give_the_same_passages(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     whole = Counter(map(tuple, passage_chains.repeated_passages(docs).collect()))
