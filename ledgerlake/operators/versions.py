@@ -31,9 +31,8 @@ def close_versions(df: DataFrame, key: str, loaded_at: str) -> DataFrame:
     distinct = distinct.withColumn("_fingerprint", F.xxhash64(*others, *(F.isnull(c) for c in others)))
     loads = (
         distinct.groupBy(F.col(key).alias("_key"), F.col(loaded_at).alias("_at"))
-        .agg(F.max("_fingerprint").alias("_last"), F.sum("_copies").alias("_rows"))
         # always so: what reads the counts, too, shares the shuffle of the collapsed rows
-        .where("_rows > 0")
+        .agg(F.max(F.when(F.col("_copies") > 0, F.col("_fingerprint"))).alias("_last"))
         .withColumn("_next", F.lead("_at").over(Window.partitionBy("_key").orderBy("_at")))
         # A later load with an unknown time cannot exist: NULL sorts first.
     )
